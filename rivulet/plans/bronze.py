@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.keys import canonical_keys
 from rivulet.operators import ghosts, merge, payload
 from rivulet.operators.dedupe import drop_duplicate_keys
+from rivulet.session import settle
 from rivulet.sources import landing
 
 
@@ -131,16 +132,21 @@ def ghost_sweep(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(new state, doomed key log, report)`` for one tenant of one table.
 
-    The decision joins back as a one-row frame: when the fuse blows or the run is dry, no ghost
-    passes the filter and the state stays as it was.
+    Ghost keys are found once and settled, as counts, log and delete all need them. The decision joins
+    back as a one-row frame: when the fuse blows or the run is dry, no ghost passes and the state stays.
     """
     mine = target.filter(F.col("tenant_id") == tenant_id)
-    counts = ghosts.sweep_counts(mine, source_keys, keys, batch_id)
+    narrow = mine.select("tenant_id", *keys, "batch_id")
+    found = settle(
+        ghosts.race_guard(ghosts.detect(narrow, source_keys, keys, batch_id), source_keys, keys), "ghosts"
+    )
+    counts = mine.agg(F.count(F.lit(1)).alias("bronze_rows")).join(
+        F.broadcast(found.agg(F.count(F.lit(1)).alias("ghost_rows")))
+    ).withColumn("tenant_id", F.lit(tenant_id).cast("int"))
     decided = ghosts.fuse(counts, max_pct, dry_run)
-    found = ghosts.race_guard(ghosts.detect(mine, source_keys, keys, batch_id), source_keys, keys)
     doomed = found.join(
         F.broadcast(decided.filter("status = 'DELETED'").select("tenant_id")), "tenant_id", "left_semi"
-    ).select(*target.columns)
+    )
     state = merge.delete_matched(target, doomed, ["tenant_id", *keys], F.col("tenant_id") == tenant_id)
     log = ghosts.doomed_keys(
         doomed, keys, schema_name=schema_name, source_table=source_table, batch_id=batch_id, deleted_ts=as_of

@@ -43,4 +43,4 @@ def naive(df: DataFrame) -> DataFrame:
 
 
 def load() -> None:
-    from workload import changes, landing_tree, payloads  # noqa: F401
+    from workload import changes, control_plane, landing_tree, payloads, reconcile, staging  # noqa: F401

@@ -89,9 +89,15 @@ FIXTURES: dict[str, str] = {
                     ELSE 'shop' END AS source_db,
                lpad(CAST(event_id AS STRING), 16, '0') AS commit_lsn, ts, user_id, value
         FROM {events}""",
+    # what the event tables hold before a compaction run: one row per user seen with a small value
+    "f_users": """
+        SELECT tenant_id, min(event_id) AS event_id, user_id, max(value) AS value, min(source_commit_ts) AS happened,
+               CAST(min(source_commit_ts) AS DATE) AS day, CAST(min(source_commit_ts) AS DATE) AS _ingest_date,
+               'r' AS _op, min(batch_id) AS batch_id
+        FROM f_stage GROUP BY tenant_id, user_id HAVING min(value) < 2 OR min(value) > 59""",
     "f_registry": """
         SELECT 'app' AS source_schema, event_type AS source_table, 'app_' || event_type AS bronze_table,
-               CASE event_type WHEN 'purchase' THEN 'event_id, user_id' ELSE 'event_id' END AS pk_columns,
+               CASE event_type WHEN 'purchase' THEN 'event_id, user_id' ELSE 'user_id' END AS pk_columns,
                event_type <> 'view' AS is_active
         FROM {events} WHERE event_type <> 'click' GROUP BY event_type
         UNION ALL
