@@ -202,13 +202,14 @@ def replay_batch(
     tenant_id: int,
     first_batch: int,
     last_batch: int,
+    **options,
 ) -> DataFrame:
     """Remove what the replayed batches left behind, then load them again, in one plan."""
     old = (F.col("tenant_id") == tenant_id) & F.col("batch_id").between(first_batch, last_batch)
     cleared = target.filter(~F.coalesce(old, F.lit(False)))
     if not keys:
         return cleared.unionByName(source.select(*target.columns))
-    return upsert(cleared, source, keys, null_safe=False, scope=F.col("tenant_id") == tenant_id)
+    return upsert(cleared, source, keys, scope=F.col("tenant_id") == tenant_id, **options)
 
 
 def acknowledge(

@@ -3,12 +3,14 @@ ghost sweep. Each returns the new table state and a report; nothing is written h
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.keys import canonical_keys
+from rivulet.model import align_schema
 from rivulet.operators import ghosts, merge, payload
 from rivulet.operators.dedupe import drop_duplicate_keys
 from rivulet.session import settle
@@ -25,23 +27,25 @@ class Change:
 
 def landing_load(
     target: DataFrame, rows: DataFrame, keys: list[str] | None, *, run_id: str, as_of: Column,
-    replay: tuple[int, int] | None = None, tenant_id: int | None = None, widen: bool = False,
+    replay: tuple[int, int] | None = None, tenant_id: int | None = None,
+    gaps: Mapping[str, Iterable[int]] | None = None,
 ) -> DataFrame:
     """Load every pending landing batch in one plan.
 
     The newest batch of each key wins, which equals merging the batches one after the other. Keyless
-    tables append. A replay first removes what the replayed batches had left behind.
+    tables append. A replay first removes what the replayed batches had left behind. ``gaps`` names
+    columns that came or went between batches.
     """
     stamped = payload.stamp_meta(rows, batch_id=F.col("batch_id"), run_id=run_id, as_of=as_of, op="I")
     if not keys:
-        if replay:
-            return merge.replay_batch(target, payload.shared_columns(stamped, target.columns), None, tenant_id, *replay)
-        return target.unionByName(payload.shared_columns(stamped, target.columns), allowMissingColumns=True)
+        every = align_schema(stamped, target.schema)
+        return merge.replay_batch(target, every, None, tenant_id, *replay) if replay else target.unionByName(every)
     merge_keys = ["tenant_id", *keys]
-    newest = landing.newest_per_key(payload.shared_columns(stamped, target.columns), merge_keys, widen)
+    newest = landing.newest_per_key(payload.shared_columns(stamped, target.columns), merge_keys, gaps)
+    carried = landing.CARRIED if gaps else None
     if replay:
-        return merge.replay_batch(target, newest, merge_keys, tenant_id, *replay)
-    return merge.upsert(target, newest, merge_keys, null_safe=False)
+        return merge.replay_batch(target, newest, merge_keys, tenant_id, *replay, carried=carried)
+    return merge.upsert(target, newest, merge_keys, carried=carried)
 
 
 def full_reload(
@@ -62,23 +66,10 @@ def full_reload(
     )
     mine = F.col("tenant_id") == tenant_id
     if overwrite_tenant:
-        return merge.replace_slice(
-            target, payload_aligned(once, target), mine
-        )
+        return merge.replace_slice(target, align_schema(once, target.schema), mine)
     return merge.upsert(target, once, merge_keys, scope=mine)
 
 
-def payload_aligned(df: DataFrame, target: DataFrame) -> DataFrame:
-    """The frame in the target's column order, with NULL for columns it does not bring."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in target.schema.fields
-        ]
-    )
-
-
 def full_replacement(
     target: DataFrame, source: DataFrame, keys: list[str], *, tenant_id: int, batch_id: int, run_id: str,
     as_of: Column,
@@ -98,7 +89,7 @@ def full_replacement(
         once = drop_duplicate_keys(canonical_keys(shaped, merge_keys), merge_keys)
         return merge.full_sync(target, once, merge_keys, tenant_id), "merge_sync"
     mine = F.col("tenant_id") == tenant_id
-    return merge.replace_slice(target, payload_aligned(shaped, target), mine), "overwrite_tenant"
+    return merge.replace_slice(target, align_schema(shaped, target.schema), mine), "overwrite_tenant"
 
 
 def interim_fill(

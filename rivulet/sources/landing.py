@@ -6,7 +6,7 @@ over folders is needed.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,24 +100,47 @@ def replay_range(batches: DataFrame, first: int | None = None, last: int | None
     return batches.filter(inside)
 
 
-def newest_per_key(rows: DataFrame, keys: list[str], widen: bool = False) -> DataFrame:
+def batch_gaps(spark: SparkSession, base: str, table_name: str, batches: DataFrame) -> dict[str, list[int]]:
+    """Columns that some batches of a table lack, with those batches. Reads footers only, one per batch
+    folder; ``batches`` is the small list from :func:`landing_batches`."""
+    listed = batches.filter(F.col("table_name") == table_name).select(*PARTS).collect()
+    brought: dict[int, set[str]] = {}
+    for r in listed:
+        folder = "/".join(f"{p}={r[p]}" for p in PARTS)
+        brought.setdefault(r["batch_id"], set()).update(spark.read.parquet(f"{base}/{folder}").columns)
+    every = set().union(*brought.values()) if brought else set()
+    gaps = {c: sorted(b for b, have in brought.items() if c not in have) for c in sorted(every)}
+    return {c: missing for c, missing in gaps.items() if missing}
+
+
+CARRIED = "_carried"
+
+
+def newest_per_key(
+    rows: DataFrame, keys: list[str], gaps: Mapping[str, Iterable[int]] | None = None
+) -> DataFrame:
     """All pending batches at once: the newest batch of each key stands for merging them in order.
 
-    With ``widen`` a later batch may lack columns an earlier one had; each column then comes from the
-    newest batch that brought it (``max_by`` per column, combined before the shuffle).
+    ``gaps`` tells which batches lack a column. Each such column then comes from the newest batch that
+    has it, and every row lists in ``_carried`` the columns its batches brought, so that the merge
+    leaves the others alone, as batch after batch would have done.
     """
-    if not widen:
-        return drop_duplicate_keys(canonical_keys(rows, keys), keys, [F.col("batch_id").desc()])
     rows = canonical_keys(rows, keys)
-    rest = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(
-        *[
-            (F.max("batch_id") if c == "batch_id" else _newest(c)).alias(c)
-            for c in rest
-        ]
+    if not gaps:
+        return drop_duplicate_keys(rows, keys, [F.col("batch_id").desc()])
+    once = drop_duplicate_keys(rows, [*keys, "batch_id"])
+
+    def held(name: str) -> Column:
+        return ~F.col("batch_id").isin(sorted(gaps.get(name, []))) if name in gaps else F.lit(True)
+
+    def newest(name: str) -> Column:
+        if name == "batch_id":
+            return F.max("batch_id")
+        return F.max_by(F.col(f"`{name}`"), F.when(held(name), F.col("batch_id")))
+
+    names = [c for c in rows.columns if c not in keys]
+    carried = [F.when(F.bool_or(held(c)), F.lit(c.lower())) for c in names]
+    return once.groupBy(*keys).agg(
+        *[newest(c).alias(c) for c in names],
+        F.array_compact(F.array(*[F.lit(k.lower()) for k in keys], *carried)).alias(CARRIED),
     )
-
-
-def _newest(name: str) -> Column:
-    value = F.col(f"`{name}`")
-    return F.max_by(value, F.when(value.isNotNull(), F.struct(F.col("batch_id"), value)))
