@@ -63,12 +63,12 @@ def _payload_keys(column: str = "value_json") -> Column:
 def payload_columns(stage: DataFrame, by: Iterable[str] = ("source_schema", "source_table")) -> DataFrame:
     """The distinct payload keys each staged table carries, as ``(schema, table, column_name)``.
 
-    The result is bounded by the number of columns; repeats are combined before the shuffle.
+    Messages of one table share a few key lists, so whole lists are made distinct first (combined before
+    the shuffle) and only those are unfolded. The result is bounded by the number of columns.
     """
-    return stage.select(
-        *[F.lower(F.trim(F.col(b))).alias(b) for b in by],
-        F.explode(_payload_keys()).alias("column_name"),
-    ).distinct()
+    tables = [F.lower(F.trim(F.col(b))).alias(b) for b in by]
+    lists = stage.select(*tables, _payload_keys().alias("keys")).distinct()
+    return lists.select(*by, F.explode("keys").alias("column_name")).distinct()
 
 
 def parse_schema(target: T.StructType) -> tuple[T.StructType, dict[str, str]]:

@@ -44,22 +44,22 @@ def read_landing(
     return df if schema is not None else _typed(df)
 
 
+def _files(spark: SparkSession, base: str) -> DataFrame:
+    """One row per landing file with its size and folder; contents are not loaded."""
+    listing = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("basePath", base).load(base)
+    )
+    return _typed(listing.select("length", *PARTS))
+
+
 def landing_batches(spark: SparkSession, base: str) -> DataFrame:
-    """Tenants, tables and batches present. Only partition columns are read, so no data page is."""
-    return read_landing(spark, base).select(*PARTS).distinct()
+    """Tenants, tables and batches present, from the file listing: work grows with files, not rows."""
+    return _files(spark, base).select(*PARTS).distinct()
 
 
 def landing_inventory(spark: SparkSession, base: str) -> DataFrame:
-    """File count and bytes per table folder, from file metadata; file contents are not loaded."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "false")
-        .option("pathGlobFilter", "*.parquet")
-        .option("basePath", base)
-        .load(base)
-        .select("path", "length", "tenant_id", "schema_name", "table_name")
-    )
-    return files.groupBy("tenant_id", "schema_name", "table_name").agg(
+    """File count and bytes per table folder."""
+    return _files(spark, base).groupBy("tenant_id", "schema_name", "table_name").agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )
 

@@ -6,11 +6,14 @@ commits; a state computed from the folder it replaces is settled elsewhere first
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from rivulet.model import empty
 from rivulet.session import settle
 
 
@@ -57,6 +60,39 @@ def replace_slices(
             rows.limit(0).drop(partition).write.mode("overwrite").parquet(f"{path}/{partition}={tenant}")
 
 
+class BronzeStore:
+    """Bronze tables as folders below ``root``, partitioned by tenant, with declared schemas."""
+
+    def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, T.StructType]):
+        self._spark, self._root, self._schemas = spark, root.rstrip("/"), dict(schemas)
+
+    def path(self, name: str) -> str:
+        return f"{self._root}/{name}"
+
+    def _stored(self, name: str) -> DataFrame | None:
+        try:
+            return self._spark.read.schema(self._schemas[name]).parquet(self.path(name))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def read(self, name: str) -> DataFrame | None:
+        """The table, empty before its first load; None when it is not declared."""
+        schema = self._schemas.get(name)
+        if schema is None:
+            return None
+        stored = self._stored(name)
+        return empty(self._spark, schema) if stored is None else stored.select(*schema.names)
+
+    def write(self, name: str, state: DataFrame, tenant_id: int, keys: Iterable[str] = ()) -> None:
+        """Swap one tenant's slice for the state's rows of that tenant, sorted by key within files."""
+        mine = state.filter(F.col("tenant_id") == tenant_id)
+        replace_slices(
+            mine, self.path(name), [tenant_id], sort_by=keys, reads_path=self._stored(name) is not None
+        )
+
+
 def overwrite_report(report: DataFrame, path: str) -> None:
     """Replace a small report, whatever columns it had before."""
     report.write.mode("overwrite").option("overwriteSchema", "true").parquet(path)
