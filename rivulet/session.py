@@ -43,3 +43,11 @@ def settle(df: DataFrame, label: str = "settled", partition_by: list[str] | None
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tune(spark: SparkSession) -> None:
+    """Session settings the plans count on: runtime re-planning, and splitting of a hot key's join
+    partition even where a later step then has to shuffle once more."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")

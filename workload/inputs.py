@@ -18,6 +18,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rivulet.session import tune
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 _TENANT = "CAST(substr(o_orderpriority, 1, 1) AS INT)"
@@ -185,6 +187,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        tune(spark)
         # naive times in the files are UTC
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
