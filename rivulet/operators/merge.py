@@ -173,7 +173,7 @@ def fill(target: DataFrame, source: DataFrame, keys: list[str], columns: list[st
 
 def delete_matched(target: DataFrame, doomed: DataFrame, keys: list[str], scope: Column | None = None) -> DataFrame:
     """Drop target rows whose key is listed; rows outside ``scope`` are safe."""
-    listed = doomed.select(*_keyed(doomed, keys, "s", True))
+    listed = doomed.select(*_keyed(doomed, keys, "s", True)).distinct()
     match = same_key(
         [fold(target, k) for k in keys], [F.col(f"_sk{i}") for i in range(len(keys))]
     )
