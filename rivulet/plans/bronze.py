@@ -1,5 +1,5 @@
 """Roads into bronze other than the stream: landing load, full reload, full replacement, audit fill,
-ghost sweep. Each returns the new table state and a report; nothing is written here."""
+ghost sweep. Each returns the new table state, some with a report; no table is written here."""
 
 from __future__ import annotations
 
