@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rivulet.llm.common import table
 from rivulet.llm.exact_dedup import exact_dedup
+from rivulet.llm.mixing import mix
+from rivulet.llm.near_dedup import near_dedup
 from rivulet.llm.packing import WordEncoder, pack
+from rivulet.llm.quality_rules import quality_rules
+from rivulet.llm.quality_rules_sql import ORACLE as QUALITY_RULES_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +29,11 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@query("op1_minhash_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op4_exact_dedup",
     """
@@ -47,3 +56,14 @@ def word_bpe() -> WordEncoder:
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), word_bpe)
+
+
+@query("op8_mixing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = F.transform("copies", lambda c: c["shard"])
+    return mix(table(spark, sf_dir, "documents")).withColumn("shards", shards).drop("copies")
+
+
+@query("op10_quality_rules", QUALITY_RULES_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
