@@ -85,19 +85,17 @@ def exact_dedup(
 
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """The kept rows of ``docs`` with all their columns, one for each different text."""
-    found = exact_dedup(docs, id_column, text_column, **options)
-    kept = found.where("kept").select(F.col(id_column).alias("_id"), F.unhex("text_sha256").alias("_sha"))
+    found = exact_dedup(docs, id_column, text_column, **options).where("kept").select(
+        F.col(id_column).alias("id"), F.unhex("text_sha256").alias("sha")
+    )
     text = text_or_empty(text_column)
-    held = docs.withColumn("_text_sha", F.unhex(F.sha2(text.cast("binary"), 256)))
-    rows = held.join(kept, held[id_column].eqNullSafe(kept["_id"]) & (held["_text_sha"] == kept["_sha"]), "left_semi")
-    # an id that occurs more than once with one text would come back as often
-    again = settle(
-        found.groupBy(id_column, "text_sha256").count().where("count > 1").select(
-            F.col(id_column).alias("_id"), F.unhex("text_sha256").alias("_sha")
-        ),
-        "repeats",
+    held = docs.select(
+        F.struct("*").alias("doc"), F.col(id_column).alias("id"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("sha")
     )
-    same = rows[id_column].eqNullSafe(again["_id"]) & (rows["_text_sha"] == again["_sha"])
-    once = rows.join(again, same, "left_anti")
-    repeats = rows.join(again, same, "left_semi").dropDuplicates([id_column, "_text_sha"])
-    return once.unionByName(repeats).drop("_text_sha")
+    kept = held.join(found, held["id"].eqNullSafe(found["id"]) & (held["sha"] == found["sha"]), "left_semi")
+    # rows that repeat id and text are still as many; there are few, so only they are made distinct
+    again = settle(held.groupBy("id", "sha").count().where("count > 1").select("id", "sha"), "repeats")
+    same = kept["id"].eqNullSafe(again["id"]) & (kept["sha"] == again["sha"])
+    once = kept.join(again, same, "left_anti")
+    repeats = kept.join(again, same, "left_semi").dropDuplicates(["id", "sha"])
+    return once.unionByName(repeats).select("doc.*")

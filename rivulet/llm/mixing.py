@@ -216,20 +216,25 @@ def first_words(text: Column, k: Column) -> Column:
     return F.array_join(F.slice(F.split(text, edges), 1, k.cast("int")), "")
 
 
-def mixed_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", seed: int = 17, **options) -> DataFrame:
-    """The rows of the mix, shard by shard and shuffled in each: ``docs`` columns and ``mix_shard``.
+def mixed_rows(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", seed: int = 17, **options
+) -> DataFrame:
+    """The rows of the mix, shard by shard and shuffled in each: ``docs`` columns, ``mix_shard``, ``mix_order``.
 
     A document taken twice comes twice; one that is taken in part comes with its first words. Rows with
     null text or without words are not part of a mix.
     """
-    held = settle(docs.withColumn("mix_row", F.monotonically_increasing_id()), "mix_docs")
-    taken = mix(held, id_column, text_column, seed=seed, row_column="mix_row", **options).where("taken > 0")
-    rows = held.join(taken.select("mix_row", F.col("size").alias("mix_size"), F.explode("copies").alias("mix_copy")), "mix_row")
-    words = F.col("mix_copy.words")
-    cut = F.when(words < F.col("mix_size"), first_words(F.col(text_column), words)).otherwise(F.col(text_column))
+    held = settle(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "mix_docs")
+    narrow = held.select("row", *[F.col(f"doc.{c}").alias(a) for c, a in ((id_column, "id"), (text_column, "text"), (source_column, "source"))])
+    taken = mix(narrow, "id", "text", seed=seed, row_column="row", **options).where("taken > 0")
+    rows = held.join(taken.select("row", F.col("size"), F.explode("copies").alias("copy")), "row")
+    text, words = F.col(f"doc.{text_column}"), F.col("copy.words")
+    cut = F.when(words < F.col("size"), first_words(text, words)).otherwise(text)
     return (
-        rows.withColumns({text_column: cut, "mix_shard": F.col("mix_copy.shard")})
-        .withColumn("mix_order", F.xxhash64(F.lit(seed + 5), id_column, "mix_copy.copy"))
-        .repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_order", id_column)
-        .select(*docs.columns, "mix_shard")
+        rows.select(
+            *[cut.alias(c) if c == text_column else F.col(f"doc.{c}") for c in docs.columns],
+            F.col("copy.shard").alias("mix_shard"),
+            F.xxhash64(F.lit(seed + 5), f"doc.{id_column}", "copy.copy").alias("mix_order"),
+        )
+        .repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_order")
     )

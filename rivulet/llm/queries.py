@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.common import table
 from rivulet.llm.exact_dedup import exact_dedup
+from rivulet.llm.language import identify_language
+from rivulet.llm.license_scan import scan_licenses
+from rivulet.llm.line_dedup import line_dedup
 from rivulet.llm.mixing import mix
 from rivulet.llm.near_dedup import near_dedup
 from rivulet.llm.packing import WordEncoder, pack
+from rivulet.llm.quality_classifier import score_quality
 from rivulet.llm.quality_rules import quality_rules
 from rivulet.llm.quality_rules_sql import ORACLE as QUALITY_RULES_SQL
+from rivulet.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +39,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op2_quality_classifier")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op4_exact_dedup",
     """
@@ -47,6 +62,16 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_line_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
 def word_bpe() -> WordEncoder:
     import public_tokenizers
 
@@ -64,6 +89,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).withColumn("shards", shards).drop("copies")
 
 
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op10_quality_rules", QUALITY_RULES_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
