@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from rivulet.session import settle
 
-# Above this many rows a group is numbered in slices instead of in one task.
-GROUP_LIMIT = 1_000_000
-
 
 def top_ranked(df: DataFrame, keys: list[str], order: list[Column], name: str, keep: int) -> DataFrame:
     """The first ``keep`` rows of each group; map tasks already drop everything past ``keep``."""
@@ -46,23 +43,3 @@ def sliced_rank(df: DataFrame, keys: list[str], order: list[Column], name: str)
         .withColumn(name, F.col(name) + F.col("_offset"))
         .select(*df.columns, name)
     )
-
-
-def ranked(
-    df: DataFrame, keys: list[str], order: list[Column], name: str, group_limit: int = GROUP_LIMIT
-) -> DataFrame:
-    """Number the rows of every group, all rows kept.
-
-    Group sizes are counted first (one combined aggregate). Groups up to ``group_limit`` use a plain
-    window; larger ones go through :func:`sliced_rank`.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    large = sizes.filter(F.col("_size") > group_limit).select(*[F.col(k).alias(f"_{k}") for k in keys])
-    window = Window.partitionBy(*keys).orderBy(*order)
-    if large.isEmpty():
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    plain = df.join(large, match, "left_anti").withColumn(name, F.row_number().over(window).cast("bigint"))
-    return plain.unionByName(sliced_rank(df.join(large, match, "left_semi"), keys, order, name))

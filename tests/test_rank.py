@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.rank import ranked, sliced_rank, top_ranked
+from rivulet.operators.rank import sliced_rank, top_ranked
 from tests.helpers import plan, rows
 
 
@@ -26,10 +26,6 @@ def test_sliced_rank_equals_a_window(spark):
     assert rows(sliced_rank(data(spark), ["k"], ORDER, "n")) == rows(plain(data(spark)))
 
 
-def test_hot_groups_take_the_sliced_way(spark):
-    assert rows(ranked(data(spark), ["k"], ORDER, "n", group_limit=100)) == rows(plain(data(spark)))
-
-
 def test_whole_table_rank_uses_many_slices(spark):
     got = sliced_rank(data(spark), [], ORDER, "n")
     assert sorted(r.n for r in got.collect()) == list(range(1, 3001))
