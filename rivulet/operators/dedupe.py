@@ -54,9 +54,23 @@ def duplicate_keys(df: DataFrame, keys: list[str], fold_case: bool = False) -> D
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1")
 
 
-def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Fail when two rows share a merge key: a table change with two sources per row is ambiguous."""
-    clash = duplicate_keys(df, keys, fold_case=True).limit(1).collect()
+class DuplicateKeys(ValueError):
+    """A source has several rows for one merge key; ``keys`` lists some of them."""
+
+    def __init__(self, keys: list[dict]):
+        super().__init__(f"more than one source row for keys {keys}")
+        self.keys = keys
+
+
+def require_unique(
+    df: DataFrame, keys: list[str], null_safe: bool = True, fold_case: bool = True, named: int = 5
+) -> DataFrame:
+    """Fail when two rows share a merge key: a table change with two sources per row is ambiguous.
+
+    Without ``null_safe`` rows with a NULL key match nothing, so they cannot clash.
+    """
+    rows = df if null_safe else df.dropna(subset=keys)
+    clash = duplicate_keys(rows, keys, fold_case=fold_case).limit(named).collect()
     if clash:
-        raise ValueError(f"more than one source row for key {clash[0].asDict()}")
+        raise DuplicateKeys([r.asDict() for r in clash])
     return df

@@ -10,7 +10,8 @@ second pass over the target reads only its key columns. Past the threshold both
 joins with the target on the left, which adaptive execution can split when a key is hot (a full outer
 join could be neither broadcast nor split).
 
-The source is read by three branches: pass a settled one when it is costly to compute.
+The source is read by three branches, so it is settled first, and a source with two rows for one key is
+refused. Callers that have done either say so.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.keys import fold, same_key
 from rivulet.model import CREATE_ONCE_COLUMNS
-from rivulet.operators.dedupe import drop_duplicate_keys
+from rivulet.operators.dedupe import drop_duplicate_keys, require_unique
+from rivulet.session import settle
 
 _HIT = "_s_hit"
 
@@ -46,6 +48,9 @@ def merge_state(
     carried: str | None = None,
     null_safe: bool = True,
     fold_case: bool = True,
+    keep_when_null: Iterable[str] = (),
+    settled: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """The target after applying ``source``; its columns and their order are the target's.
 
@@ -53,8 +58,15 @@ def merge_state(
     ``delete_when``, ``update_when`` and ``insert_when`` are conditions on source columns,
     ``delete_unmatched`` and ``scope`` conditions on target columns. Rows outside ``scope`` pass
     through without a join. ``carried`` names a source column listing, in lower case, the columns each
-    row really brings; others keep the target's value.
+    row really brings; others keep the target's value. Columns of ``keep_when_null`` (lower case) keep the
+    target's value where the source has none. ``settled`` says that the source is a written table,
+    ``unique`` that it has one row per key.
     """
+    if not settled:
+        source = settle(source, "merge-source")
+    if not unique:
+        require_unique(source, keys, null_safe=null_safe, fold_case=fold_case)
+    keep_when_null = set(keep_when_null)
     shared = [c for c in target.columns if c in set(source.columns)]
     update = [c for c in (shared if update is None else update) if c in shared]
     insert = {c for c in (shared if insert is None else insert) if c in shared}
@@ -95,7 +107,10 @@ def merge_state(
         takes = F.col(_HIT).isNotNull() & F.col("_s_update")
         if carried:
             takes = takes & F.array_contains("_s_carried", name.lower())
-        return F.when(takes, F.col(place[name])).otherwise(old).alias(name)
+        new = F.col(place[name])
+        if name.lower() in keep_when_null:
+            new = F.coalesce(new, old)
+        return F.when(takes, new).otherwise(old).alias(name)
 
     state = joined.filter(~drop).select(*[kept(c) for c in target.columns])
 
@@ -124,6 +139,7 @@ def cdc_apply(
     carried: str | None = None,
     guard_log_position: str | None = None,
     scope: Column | None = None,
+    **options,
 ) -> DataFrame:
     """Apply one surviving change per key: delete on ``d``, otherwise update or insert.
 
@@ -135,6 +151,7 @@ def cdc_apply(
     gone = F.col(f"`{op}`") == "d"
     if guard_log_position:
         source = _drop_stale(target, source, keys, guard_log_position)
+        options["settled"] = False
     return merge_state(
         target,
         source,
@@ -144,6 +161,7 @@ def cdc_apply(
         delete_when=gone,
         carried=carried,
         scope=scope,
+        **options,
     )
 
 
@@ -160,10 +178,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], **options) ->
     return merge_state(target, source, keys, **options)
 
 
-def full_sync(target: DataFrame, source: DataFrame, keys: list[str], tenant_id: int) -> DataFrame:
+def full_sync(target: DataFrame, source: DataFrame, keys: list[str], tenant_id: int, **options) -> DataFrame:
     """Make one tenant's rows equal the source: update, insert, and delete what the source lacks."""
     mine = F.col("tenant_id") == tenant_id
-    return merge_state(target, source, keys, scope=mine, delete_unmatched=F.lit(True))
+    return merge_state(target, source, keys, scope=mine, delete_unmatched=F.lit(True), **options)
 
 
 def fill(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], **options) -> DataFrame:
@@ -205,6 +223,8 @@ def replay_batch(
     **options,
 ) -> DataFrame:
     """Remove what the replayed batches left behind, then load them again, in one plan."""
+    if tenant_id is None:
+        raise ValueError("a replay needs the tenant whose batches it replaces")
     old = (F.col("tenant_id") == tenant_id) & F.col("batch_id").between(first_batch, last_batch)
     cleared = target.filter(~F.coalesce(old, F.lit(False)))
     if not keys:

@@ -28,7 +28,7 @@ class Change:
 def landing_load(
     target: DataFrame, rows: DataFrame, keys: list[str] | None, *, run_id: str, as_of: Column,
     replay: tuple[int, int] | None = None, tenant_id: int | None = None,
-    gaps: Mapping[str, Iterable[int]] | None = None,
+    gaps: Mapping[str, Iterable[landing.Batch]] | None = None,
 ) -> DataFrame:
     """Load every pending landing batch in one plan.
 
@@ -44,8 +44,9 @@ def landing_load(
     newest = landing.newest_per_key(payload.shared_columns(stamped, target.columns), merge_keys, gaps)
     carried = landing.CARRIED if gaps else None
     if replay:
-        return merge.replay_batch(target, newest, merge_keys, tenant_id, *replay, carried=carried)
-    return merge.upsert(target, newest, merge_keys, carried=carried)
+        return merge.replay_batch(target, newest, merge_keys, tenant_id, *replay, carried=carried, unique=True)
+    scope = None if tenant_id is None else F.col("tenant_id") == tenant_id
+    return merge.upsert(target, newest, merge_keys, carried=carried, scope=scope, unique=True)
 
 
 def full_reload(
@@ -67,7 +68,7 @@ def full_reload(
     mine = F.col("tenant_id") == tenant_id
     if overwrite_tenant:
         return merge.replace_slice(target, align_schema(once, target.schema), mine)
-    return merge.upsert(target, once, merge_keys, scope=mine)
+    return merge.upsert(target, once, merge_keys, scope=mine, unique=True)
 
 
 def full_replacement(
@@ -87,7 +88,7 @@ def full_replacement(
     if keys and not payload.missing_keys(keys, shaped.columns):
         merge_keys = ["tenant_id", *keys]
         once = drop_duplicate_keys(canonical_keys(shaped, merge_keys), merge_keys)
-        return merge.full_sync(target, once, merge_keys, tenant_id), "merge_sync"
+        return merge.full_sync(target, once, merge_keys, tenant_id, unique=True), "merge_sync"
     mine = F.col("tenant_id") == tenant_id
     return merge.replace_slice(target, align_schema(shaped, target.schema), mine), "overwrite_tenant"
 
@@ -102,14 +103,15 @@ def interim_fill(
     """
     merge_keys = ["tenant_id", *keys]
     holes = payload.hole_candidates(target, keys, wanted, batch_id=batch_id, tenant_id=tenant_id)
-    holes = canonical_keys(holes, keys)
+    holes = settle(canonical_keys(holes, keys), "holes")
     found = (
         canonical_keys(source.select(*keys, *wanted), keys)
         .join(holes, keys, "left_semi")
         .withColumn("tenant_id", F.lit(tenant_id).cast("int"))
     )
-    found = drop_duplicate_keys(found, merge_keys)
-    state = merge.fill(target, found, merge_keys, wanted, scope=F.col("tenant_id") == tenant_id)
+    found = settle(drop_duplicate_keys(found, merge_keys), "found")
+    mine = F.col("tenant_id") == tenant_id
+    state = merge.fill(target, found, merge_keys, wanted, scope=mine, settled=True, unique=True)
     counts = holes.agg(F.count(F.lit(1)).alias("candidate_rows")).join(
         F.broadcast(found.agg(F.count(F.lit(1)).alias("filled_rows")))
     )

@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rivulet.operators import merge
-from rivulet.operators.dedupe import drop_duplicate_keys, latest_op_wins, require_unique
+from rivulet.operators.dedupe import DuplicateKeys, drop_duplicate_keys, latest_op_wins, require_unique
 from rivulet.session import settle
 from tests.helpers import plan, rows
 
@@ -112,6 +112,21 @@ def test_two_source_rows_for_a_key_are_refused(spark):
         require_unique(source, KEYS)
 
 
+def test_merges_refuse_two_source_rows_for_a_key(spark):
+    target = spark.createDataFrame([(1, 1, "old")], "tenant_id int, id int, v string")
+    twice = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, 2, "c")], "tenant_id int, id int, v string")
+    with pytest.raises(DuplicateKeys) as refused:
+        merge.upsert(target, twice, ["tenant_id", "id"])
+    assert [k["cnt"] for k in refused.value.keys] == [2]
+
+
+def test_a_missing_audit_time_does_not_erase_the_stored_one(spark):
+    target = spark.createDataFrame([(1, "t0", "n0")], "id int, ModifiedOn string, Note string")
+    source = spark.createDataFrame([(1, None, None)], "id int, ModifiedOn string, Note string")
+    got = merge.merge_state(target, source, ["id"], keep_when_null={"modifiedon"})
+    assert rows(got) == [(1, "t0", None)]
+
+
 def test_latest_op_wins_ties_and_missing_positions(spark):
     log = spark.createDataFrame(
         [(1, "A", None, 9, "no position"), (1, "a", "0001", 1, "low"), (1, "a", "0002", 1, "first"), (1, "A", "0002", 2, "last")],
