@@ -1,12 +1,13 @@
 """The landing tree: ``tenant_id=/schema_name=/table_name=/batch_id=`` folders of parquet.
 
-One partitioned read covers the whole tree; tenant, table and batch filters prune folders, so no loop
-over folders is needed.
+A read lists and opens only the folders of the tenant, table and batches asked for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 from rivulet.functions.keys import canonical_keys
 from rivulet.operators.dedupe import drop_duplicate_keys
 
+Batch = tuple[int, str, int]  # tenant, schema, batch id
 PARTS = ["tenant_id", "schema_name", "table_name", "batch_id"]
 _PART_TYPES = {"tenant_id": "int", "schema_name": "string", "table_name": "string", "batch_id": "bigint"}
 
@@ -23,24 +25,30 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(t) for c, t in _PART_TYPES.items()})
 
 
+def _folders(base: str, wanted: Mapping[str, object], batches: Iterable[int] | None) -> list[str]:
+    """The folders to load as path patterns: fixed parts by name, open ones by wildcard."""
+    fixed = [f"{p}={wanted[p]}" if wanted.get(p) is not None else f"{p}=*" for p in PARTS[:-1]]
+    last = ["batch_id=*"] if batches is None else [f"batch_id={b}" for b in sorted(set(batches))]
+    return ["/".join([base.rstrip("/"), *fixed, b]) for b in last]
+
+
 def read_landing(
     spark: SparkSession, base: str, *, tenant_id: int | None = None, schema_name: str | None = None,
     table_name: str | None = None, batches: Iterable[int] | None = None, schema: T.StructType | None = None,
     widen: bool = False,
 ) -> DataFrame:
-    """Rows of the asked-for folders. ``widen`` merges file schemas when batches brought new columns."""
+    """Rows of the asked-for folders. ``widen`` merges file schemas when batches brought new columns.
+
+    Only those folders are listed and only their files give the schema, so the tables of a tree may have
+    different columns.
+    """
     reader = spark.read.option("basePath", base)
     if schema is not None:
         reader = reader.schema(schema)
     if widen:
         reader = reader.option("mergeSchema", "true")
-    df = reader.parquet(base)
     wanted = {"tenant_id": tenant_id, "schema_name": schema_name, "table_name": table_name}
-    for name, value in wanted.items():
-        if value is not None:
-            df = df.filter(F.col(name) == value)
-    if batches is not None:
-        df = df.filter(F.col("batch_id").isin(sorted(batches)))
+    df = reader.parquet(*_folders(base, wanted, batches))
     return df if schema is not None else _typed(df)
 
 
@@ -100,14 +108,20 @@ def replay_range(batches: DataFrame, first: int | None = None, last: int | None
     return batches.filter(inside)
 
 
-def batch_gaps(spark: SparkSession, base: str, table_name: str, batches: DataFrame) -> dict[str, list[int]]:
-    """Columns that some batches of a table lack, with those batches. Reads footers only, one per batch
-    folder; ``batches`` is the small list from :func:`landing_batches`."""
-    listed = batches.filter(F.col("table_name") == table_name).select(*PARTS).collect()
-    brought: dict[int, set[str]] = {}
-    for r in listed:
+def batch_gaps(spark: SparkSession, base: str, table_name: str, batches: DataFrame) -> dict[str, list[Batch]]:
+    """Columns that some batches of a table lack, with those batches as (tenant, schema, batch).
+
+    ``batches`` comes from :func:`landing_batches`. Only the footers of a table's pending folders are read,
+    a few folders at a time; the driver holds names of columns, not rows.
+    """
+    listed = batches.filter(F.col("table_name") == table_name).select(*PARTS).distinct().collect()
+
+    def columns(r) -> set[str]:
         folder = "/".join(f"{p}={r[p]}" for p in PARTS)
-        brought.setdefault(r["batch_id"], set()).update(spark.read.parquet(f"{base}/{folder}").columns)
+        return set(spark.read.parquet(f"{base}/{folder}").columns)
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        brought = {(r["tenant_id"], r["schema_name"], r["batch_id"]): c for r, c in zip(listed, pool.map(columns, listed))}
     every = set().union(*brought.values()) if brought else set()
     gaps = {c: sorted(b for b, have in brought.items() if c not in have) for c in sorted(every)}
     return {c: missing for c, missing in gaps.items() if missing}
@@ -116,8 +130,15 @@ def batch_gaps(spark: SparkSession, base: str, table_name: str, batches: DataFra
 CARRIED = "_carried"
 
 
+def _is_batch(columns: Iterable[str], batch: Batch) -> Column:
+    """Rows of one landing batch; a frame without the schema's name holds one schema only."""
+    have = set(columns)
+    parts = [F.col(c) == v for c, v in zip(("tenant_id", "schema_name", "batch_id"), batch) if c in have]
+    return F.coalesce(reduce(lambda a, b: a & b, parts), F.lit(False))
+
+
 def newest_per_key(
-    rows: DataFrame, keys: list[str], gaps: Mapping[str, Iterable[int]] | None = None
+    rows: DataFrame, keys: list[str], gaps: Mapping[str, Iterable[Batch]] | None = None
 ) -> DataFrame:
     """All pending batches at once: the newest batch of each key stands for merging them in order.
 
@@ -131,7 +152,8 @@ def newest_per_key(
     once = drop_duplicate_keys(rows, [*keys, "batch_id"])
 
     def held(name: str) -> Column:
-        return ~F.col("batch_id").isin(sorted(gaps.get(name, []))) if name in gaps else F.lit(True)
+        lacking = [_is_batch(rows.columns, b) for b in gaps.get(name, [])]
+        return ~reduce(lambda a, b: a | b, lacking) if lacking else F.lit(True)
 
     def newest(name: str) -> Column:
         if name == "batch_id":
