@@ -26,10 +26,12 @@ def stage_envelope(
     """Routing columns from ``(value, timestamp)`` messages; heartbeats, which name no table, are dropped.
 
     One generator reads all header fields in a single pass over the text. Unlike a parsed struct it is
-    not copied into the filter below, so each message is parsed once. The row image stays raw text.
+    not copied into the filter below, so each message is parsed once. The row image stays raw text. Where
+    messages say from which partition and offset of their source they come, rows keep it.
     """
+    place = [c for c in model.SOURCE_PLACE if c in messages.columns]
     raw = messages.select(
-        F.col("value").cast("string").alias("value_json"), F.col("timestamp").alias("eh_enqueued_ts")
+        F.col("value").cast("string").alias("value_json"), F.col("timestamp").alias("eh_enqueued_ts"), *place
     )
     header = raw.select("*", F.json_tuple("value_json", *_HEADER).alias(*_HEADER))
     return header.select(
@@ -46,6 +48,7 @@ def stage_envelope(
         F.lit(micro_batch_id).cast("bigint").alias("micro_batch_id"),
         (F.current_timestamp() if ingest_ts is None else ingest_ts).alias("ingest_ts"),
         F.lit(run_id).alias("run_id"),
+        *place,
     ).filter(F.col("source_table").isNotNull())
 
 

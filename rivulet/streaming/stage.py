@@ -5,29 +5,43 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.payload import stage_envelope, tenant_cross_check
-from rivulet.operators.rank import sliced_rank
 
-MESSAGE = "value binary, timestamp timestamp"
-# A micro-batch owns this many sequence numbers.
-_SEQUENCE_SPAN = 1 << 40
+MESSAGE = "value binary, timestamp timestamp, partition int, offset bigint"
 
 
 def read_changes(spark: SparkSession, kind: str = "kafka", **options: str) -> DataFrame:
-    """Change messages as a stream of at least ``(value, timestamp)``.
+    """Change messages as a stream of ``(value, timestamp, source_partition, source_offset)``.
 
     ``kafka`` takes the broker's options; data loss does not stop it unless asked to. Any other kind is
-    a file format (``parquet``, ``json``) with a ``path``.
+    a file format (``parquet``, ``json``) with a ``path``, whose writer put partition and offset into the
+    rows; parquet rows without them stand at their place in their file.
     """
     if kind == "kafka":
         settings = {"failOnDataLoss": "false", "startingOffsets": "latest", **options}
-        return spark.readStream.format("kafka").options(**settings).load()
+        raw = spark.readStream.format("kafka").options(**settings).load()
+        return raw.select("value", "timestamp", *_place(F.concat_ws("/", "topic", "partition"), F.col("offset")))
     path = options.pop("path")
-    return spark.readStream.schema(MESSAGE).format(kind).options(**options).load(path)
+    raw = spark.readStream.schema(MESSAGE).format(kind).options(**options).load(path)
+    if kind != "parquet":
+        return raw.select("value", "timestamp", *_place(F.col("partition"), F.col("offset")))
+    told = F.col("partition").isNotNull() & F.col("offset").isNotNull()
+    return raw.select(
+        "value", "timestamp",
+        *_place(
+            F.when(told, F.col("partition").cast("string")).otherwise(F.col("_metadata.file_path")),
+            F.when(told, F.col("offset")).otherwise(F.col("_metadata.row_index")),
+        ),
+    )
+
+
+def _place(partition: Column, offset: Column) -> list[Column]:
+    return [partition.cast("string").alias("source_partition"), offset.cast("bigint").alias("source_offset")]
 
 
 @dataclass(frozen=True)
@@ -43,8 +57,8 @@ class StageRun:
     stream_id: str
     ingest_ts: Column | None = None
 
-    def staged(self, messages: DataFrame, micro_batch_id: int) -> DataFrame:
-        """Envelope, filters and sequence for one micro-batch; the same rows again give the same result."""
+    def staged(self, messages: DataFrame, micro_batch_id: int, base: int = 0) -> DataFrame:
+        """Envelope, filters and sequence for one micro-batch; the same messages again give the same result."""
         rows = tenant_cross_check(
             stage_envelope(
                 messages,
@@ -57,28 +71,51 @@ class StageRun:
             ),
             self.expected_db,
         ).withColumn("ingest_date", F.col("ingest_ts").cast("date"))
-        return sequenced(rows, micro_batch_id)
+        return sequenced(rows, base)
 
     def append_batch(self, messages: DataFrame, micro_batch_id: int) -> None:
         """The only write. A retried micro-batch replaces its own folder, so rows land once.
 
         The folder is named by the stream (one per checkpoint) and the micro-batch, because micro-batch
-        numbers start over with a new checkpoint.
+        numbers start over with a new checkpoint. Sequences go on from the highest one staged before, by
+        whichever stream, so a stage has one writer at a time.
         """
         folder = f"{self.stage_path}/stream_id={self.stream_id}/micro_batch_id={micro_batch_id}"
-        self.staged(messages, micro_batch_id).drop("micro_batch_id").write.mode("overwrite").parquet(folder)
-
-
-def sequenced(rows: DataFrame, micro_batch_id: int) -> DataFrame:
-    """Arrival sequence: the micro-batch number, then the row's place in it, packed into one bigint."""
-    order = [
-        F.col("eh_enqueued_ts").asc_nulls_first(),
-        F.col("commit_lsn").asc_nulls_first(),
-        F.col("value_json"),
-    ]
-    placed = sliced_rank(rows, [], order, "_place")
-    base = F.lit(micro_batch_id).cast("bigint") * F.lit(_SEQUENCE_SPAN)
-    return placed.withColumn("stage_seq", base + F.col("_place")).drop("_place")
+        base = self._staged_up_to(messages.sparkSession, micro_batch_id)
+        self.staged(messages, micro_batch_id, base).drop("micro_batch_id").write.mode("overwrite").parquet(folder)
+
+    def _staged_up_to(self, spark: SparkSession, micro_batch_id: int) -> int:
+        """The highest sequence outside this micro-batch's own folder; only that column is read."""
+        try:
+            stage = spark.read.parquet(self.stage_path)
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return 0
+        own = (F.col("stream_id").cast("string") == self.stream_id) & (F.col("micro_batch_id") == micro_batch_id)
+        return stage.filter(~own).agg(F.max("stage_seq")).first()[0] or 0
+
+
+def sequenced(rows: DataFrame, base: int = 0) -> DataFrame:
+    """Arrival sequence above ``base``: partition after partition, in each by the source's offsets.
+
+    All changes of one key come through one partition, so offsets tell their order even where log position
+    and time are equal. Only the offset range of each partition passes through the driver; no row is
+    sorted or shuffled.
+    """
+    ranges = (
+        rows.groupBy("source_partition")
+        .agg(F.min("eh_enqueued_ts").alias("began"), F.min("source_offset").alias("low"), F.max("source_offset").alias("high"))
+        .orderBy("began", "source_partition").collect()
+    )
+    starts, at = [], base + 1
+    for r in ranges:
+        starts.append((r["source_partition"], at - r["low"]))
+        at += r["high"] - r["low"] + 1
+    # a row for each partition of the source that the micro-batch reads
+    shift = rows.sparkSession.createDataFrame(starts, "_partition string, _shift bigint")
+    placed = rows.join(F.broadcast(shift), F.col("source_partition") == F.col("_partition"))
+    return placed.withColumn("stage_seq", F.col("source_offset") + F.col("_shift")).drop("_partition", "_shift")
 
 
 def start_staging(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet import model
@@ -30,13 +30,20 @@ def messages(i: Inputs) -> DataFrame:
         F.col("commit_lsn").alias("__commit_lsn"),
     )
     return i.f_raw_events.select(
-        F.to_json(image).cast("binary").alias("value"), F.col("ts").cast("timestamp").alias("timestamp")
+        F.to_json(image).cast("binary").alias("value"), F.col("ts").cast("timestamp").alias("timestamp"),
+        (F.col("event_id") % 8).cast("int").alias("partition"), F.col("event_id").alias("offset"),
+    )
+
+
+def _placed(i: Inputs) -> DataFrame:
+    return messages(i).withColumnsRenamed({"partition": "source_partition", "offset": "source_offset"}).withColumn(
+        "source_partition", F.col("source_partition").cast("string")
     )
 
 
 def _envelope(i: Inputs) -> DataFrame:
     return payload.stage_envelope(
-        messages(i), tenant_id=1, default_schema="app", batch_id=BATCH, micro_batch_id=7, run_id=RUN,
+        _placed(i), tenant_id=1, default_schema="app", batch_id=BATCH, micro_batch_id=7, run_id=RUN,
         ingest_ts=as_of(),
     )
 
@@ -45,7 +52,8 @@ _ENVELOPE = f"""
     SELECT CAST(1 AS INT) AS tenant_id, coalesce(source_schema, 'app') AS source_schema, source_table,
            coalesce(op, 'u') AS op, commit_lsn, source_db, date_trunc('milliseconds', ts) AS source_commit_ts,
            ts AS eh_enqueued_ts, CAST({BATCH} AS BIGINT) AS batch_id, CAST(7 AS BIGINT) AS micro_batch_id,
-           TIMESTAMP '{AS_OF}' AS ingest_ts, '{RUN}' AS run_id
+           TIMESTAMP '{AS_OF}' AS ingest_ts, '{RUN}' AS run_id,
+           CAST(event_id % 8 AS VARCHAR) AS source_partition, event_id AS source_offset
     FROM f_raw_events WHERE source_table IS NOT NULL"""
 _CHECKED = f"SELECT * FROM d_envelope WHERE source_db IS NULL OR lower(source_db) = 'shop'"
 
@@ -63,32 +71,41 @@ def _(i: Inputs) -> DataFrame:
 @query(
     "q_stream_stage_append",
     """SELECT tenant_id, source_schema, source_table, op, commit_lsn, source_db, source_commit_ts, eh_enqueued_ts,
-              batch_id, ingest_ts, run_id, CAST(ingest_ts AS DATE) AS ingest_date
+              batch_id, ingest_ts, run_id, CAST(ingest_ts AS DATE) AS ingest_date, source_partition, source_offset,
+              row_number() OVER (PARTITION BY source_partition ORDER BY source_offset) AS place
        FROM (""" + _CHECKED + ") c",
     {"d_envelope": _ENVELOPE},
 )
 def _(i: Inputs) -> DataFrame:
     """The whole ingest job over message files: read stream, one write per micro-batch, drain and stop."""
     base = scratch(i.spark, "ingest")
-    messages(i).write.parquet(f"{base}/messages")
+    messages(i).repartition("partition").write.parquet(f"{base}/messages")
     run = StageRun(
         tenant_id=1, default_schema="app", expected_db="shop", batch_id=BATCH, run_id=RUN,
         stage_path=f"{base}/stage", stream_id="events", ingest_ts=as_of(),
     )
     changes = read_changes(i.spark, "parquet", path=f"{base}/messages", maxFilesPerTrigger="8")
     start_staging(changes, run.append_batch, f"{base}/checkpoint").awaitTermination()
-    return read_stage(i.spark, run.stage_path).drop("value_json", "stream_id", "micro_batch_id", "stage_seq")
+    staged = read_stage(i.spark, run.stage_path)
+    # which files share a micro-batch is left to the source: compare the order in each partition
+    place = F.row_number().over(Window.partitionBy("source_partition").orderBy("stage_seq"))
+    return staged.withColumn("place", place).drop("value_json", "stream_id", "micro_batch_id", "stage_seq")
 
 
 @query(
     "q_stage_sequence",
-    """SELECT commit_lsn, CAST(7 * 1099511627776 + row_number() OVER (ORDER BY eh_enqueued_ts, commit_lsn) AS BIGINT)
-              AS stage_seq
-       FROM d_envelope""",
+    """SELECT commit_lsn, source_offset, CAST(1000 + start + source_offset - low + 1 AS BIGINT) AS stage_seq
+       FROM d_envelope JOIN (
+           SELECT source_partition, low,
+                  coalesce(sum(high - low + 1) OVER (ORDER BY began, source_partition
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+           FROM (SELECT source_partition, min(eh_enqueued_ts) AS began, min(source_offset) AS low,
+                        max(source_offset) AS high FROM d_envelope GROUP BY 1)
+       ) USING (source_partition)""",
     {"d_envelope": _ENVELOPE},
 )
 def _(i: Inputs) -> DataFrame:
-    return sequenced(_envelope(i), 7).select("commit_lsn", "stage_seq")
+    return sequenced(_envelope(i), 1000).select("commit_lsn", "source_offset", "stage_seq")
 
 
 @query(
