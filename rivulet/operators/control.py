@@ -89,7 +89,7 @@ def promotable_batches(
 ) -> DataFrame:
     """Batch ids that may go on to the silver layer.
 
-    ``clean_and_newer``  per batch: no table failed, and above the last promoted id
+    ``clean_and_newer``  per batch: no table failed or was fatal, and above the last promoted id
     ``run_if_clean``     the run's own id, if nothing in the run failed
     ``run_if_newer``     as before, and only above the last promoted id
     """
@@ -98,7 +98,7 @@ def promotable_batches(
         candidates = (
             detail.filter(F.col("batch_id").isNotNull())
             .groupBy("batch_id")
-            .agg(F.count_if(F.col("status") == "FAILED").alias("failed"))
+            .agg(F.count_if(F.col("status").isin("FAILED", "FATAL")).alias("failed"))
             .filter("failed = 0")
             .select("batch_id")
         )

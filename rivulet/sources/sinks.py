@@ -111,6 +111,6 @@ def dead_letters(
         "source_db",
         "op",
         "commit_lsn",
-        F.lit(error[:300]).alias("error"),
+        F.lit(error).alias("error"),
         F.col("value_json").alias("raw_value"),
     )

@@ -1,6 +1,7 @@
 import datetime
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from rivulet import model
@@ -8,8 +9,8 @@ from rivulet.operators import checks, control
 from rivulet.operators.payload import stage_envelope, tenant_cross_check
 from rivulet.session import scratch
 from rivulet.sources.sinks import BronzeStore
-from rivulet.streaming.compaction import compaction_cycle
-from rivulet.streaming.stage import StageRun, read_changes, read_stage, start_staging
+from rivulet.streaming.compaction import CycleFailed, compaction_cycle
+from rivulet.streaming.stage import MESSAGE, StageRun, read_changes, read_stage, start_staging
 from tests.helpers import rows
 
 AT = datetime.datetime(2024, 1, 2)
@@ -22,7 +23,7 @@ def at():
 def message(n, table, op, image, schema="app", db="shop"):
     body = {**image, "__op": op, "__source_table": table, "__source_schema": schema, "__source_db": db,
             "__source_ts_ms": 1704067200000 + n * 1000, "__source_commit_lsn": f"{n:08}"}
-    return bytearray(json.dumps(body).encode()), datetime.datetime(2024, 1, 1, 0, 0, n)
+    return bytearray(json.dumps(body).encode()), datetime.datetime(2024, 1, 1, 0, 0, n), 0, n
 
 
 MESSAGES = [
@@ -36,9 +37,16 @@ MESSAGES = [
 REGISTRY = [("App", "Person", "app_person", "Id", True), ("app", "nokey", "app_nokey", "Id", True), ("app", "unknown", "x", "Id", False)]
 
 
+def placed(spark, messages):
+    df = spark.createDataFrame(messages, MESSAGE)
+    return df.withColumnsRenamed({"partition": "source_partition", "offset": "source_offset"}).withColumn(
+        "source_partition", F.col("source_partition").cast("string")
+    )
+
+
 def ingest(spark, messages, **options):
     base = scratch(spark, "stream-test")
-    df = spark.createDataFrame(messages, "value binary, timestamp timestamp")
+    df = spark.createDataFrame(messages, MESSAGE)
     df.repartition(3).write.parquet(f"{base}/in")
     run = StageRun(tenant_id=1, default_schema="app", expected_db="SHOP", batch_id=20240101000000, run_id="r",
                    stage_path=f"{base}/stage", stream_id="s1", ingest_ts=at())
@@ -50,7 +58,7 @@ def ingest(spark, messages, **options):
 def test_stream_equals_batch(spark):
     _, run = ingest(spark, MESSAGES, maxFilesPerTrigger="1")
     staged = read_stage(spark, run.stage_path)
-    df = spark.createDataFrame(MESSAGES, "value binary, timestamp timestamp")
+    df = placed(spark, MESSAGES)
     whole = tenant_cross_check(
         stage_envelope(df, tenant_id=1, default_schema="app", batch_id=20240101000000, micro_batch_id=0, run_id="r",
                        ingest_ts=at()), "shop")
@@ -63,10 +71,47 @@ def test_stream_equals_batch(spark):
 def test_retried_micro_batch_lands_once_with_the_same_sequence(spark):
     _, run = ingest(spark, MESSAGES)
     before = rows(read_stage(spark, run.stage_path), "stage_seq", "commit_lsn")
-    run.append_batch(spark.createDataFrame(MESSAGES, "value binary, timestamp timestamp").orderBy(F.rand(3)), 0)
+    run.append_batch(placed(spark, MESSAGES).orderBy(F.rand(3)), 0)
     assert rows(read_stage(spark, run.stage_path), "stage_seq", "commit_lsn") == before
 
 
+def test_changes_of_one_commit_keep_the_order_of_their_source(spark):
+    """A delete and a new insert of one key share log position and time; only the offset tells them apart."""
+    at_once = [
+        message(1, "person", "c", {"Id": "7", "Name": "zoe"}), message(2, "person", "d", {"Id": "7", "Name": "zoe"}),
+        message(3, "person", "c", {"Id": "7", "Name": "amy"}),
+    ]
+    same = json.loads(at_once[0][0])["__source_commit_lsn"]
+    messages = []
+    for value, _, partition, offset in at_once:
+        body = json.loads(value) | {"__source_commit_lsn": same}
+        messages.append((bytearray(json.dumps(body).encode()), AT, partition, offset))
+    _, run = ingest(spark, messages[::-1])
+    staged = read_stage(spark, run.stage_path)
+    assert [r.op for r in staged.orderBy("stage_seq").collect()] == ["c", "d", "c"]
+    cycle = cycle_over(spark, staged, {"app_person": people(spark)})
+    assert rows(cycle.states["app", "person"].filter("Id = '7'"), "Name", "_op") == [("amy", "c")]
+
+
+def test_sequence_goes_on_with_a_new_checkpoint(spark):
+    base, run = ingest(spark, MESSAGES[:3])
+    top = read_stage(spark, run.stage_path).agg(F.max("stage_seq")).first()[0]
+    later = StageRun(**{**vars(run), "stream_id": "s2"})
+    start_staging(read_changes(spark, "parquet", path=f"{base}/in"), later.append_batch, f"{base}/checkpoint2").awaitTermination()
+    again = read_stage(spark, run.stage_path).filter("stream_id = 's2'")
+    assert again.count() == 3 and again.agg(F.min("stage_seq")).first()[0] > top
+
+
+def test_parquet_rows_without_offsets_stand_at_their_place(spark):
+    base = scratch(spark, "stream-test")
+    spark.createDataFrame([m[:2] for m in MESSAGES], "value binary, timestamp timestamp").coalesce(1).write.parquet(f"{base}/in")
+    run = StageRun(tenant_id=1, default_schema="app", expected_db="SHOP", batch_id=1, run_id="r", stage_path=f"{base}/stage",
+                   stream_id="s1", ingest_ts=at())
+    start_staging(read_changes(spark, "parquet", path=f"{base}/in"), run.append_batch, f"{base}/checkpoint").awaitTermination()
+    staged = read_stage(spark, run.stage_path).orderBy("stage_seq").collect()
+    assert [r.commit_lsn for r in staged] == sorted(r.commit_lsn for r in staged)
+
+
 def test_drained_stream_does_nothing_when_started_again(spark):
     base, run = ingest(spark, MESSAGES)
     before = read_stage(spark, run.stage_path).count()
@@ -198,3 +243,34 @@ def test_promotion_rules(spark):
     assert rows(control.promotable_batches(good, gate, "run_if_newer")) == []
     assert rows(control.resolve_batch(None, detail.withColumn("tenant_id", F.lit(1)), 1)) == [(7,)]
     assert rows(control.resolve_batch(3, detail.withColumn("tenant_id", F.lit(1)), 1)) == [(3,)]
+
+
+def test_whole_errors_are_kept_and_failed_writes_are_fatal(spark):
+    _, run = ingest(spark, MESSAGES[:3])
+    stage = read_stage(spark, run.stage_path)
+    long = "e" * 1000
+
+    def broken(name):
+        raise ValueError(long)
+
+    options = dict(tenant_id=1, run_id="r1", as_of=at())
+    registry = spark.createDataFrame(REGISTRY, model.REGISTRY)
+    cycle = compaction_cycle(stage, registry, broken, **options)
+    assert cycle.results.first().error_message == long and cycle.status == "FAILED"
+    assert {r.error for r in cycle.dead_letters.collect()} == {long}
+    assert cycle.require_whole() is cycle
+
+    def full_disk(key, state):
+        raise OSError("disk full")
+
+    cycle = compaction_cycle(stage, registry, {"app_person": people(spark)}.get, store=full_disk, **options)
+    assert cycle.fatal and cycle.dead_letters.count() == 0
+    assert cycle.stage.count() == stage.count()  # nothing is acknowledged
+    with pytest.raises(CycleFailed, match="disk full"):
+        cycle.require_whole()
+
+
+def test_fatal_tables_hold_their_batch_back(spark):
+    gate = model.empty(spark, model.GATE)
+    detail = spark.createDataFrame([(1, "SUCCESS"), (1, "FATAL"), (2, "SUCCESS")], "batch_id bigint, status string")
+    assert rows(control.promotable_batches(detail, gate)) == [(2,)]
