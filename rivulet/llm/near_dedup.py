@@ -1,20 +1,20 @@
 """Near duplicates: MinHash signatures joined under a Hamming threshold by several indexes.
 
 Texts with the same set of shingles are one class. A class has a signature of ``SYMBOLS`` MinHash symbols of
-16 bits, in ``CHUNKS`` chunks. Two signatures that differ in at most ``MOST_ERRORS`` symbols cannot have two
-errors in every chunk (pigeonhole: 2 * 16 > 28), so some chunk has at most one; enumerating the symbol that
-may be wrong in each chunk gives keys that two such signatures are sure to share. Candidates must also
-lie within ``MOST_WIDE`` on a wider signature of 2-bit symbols, a distance that planes of longs give by
-bit counts inside the join, and within the length ratio of the threshold.
+16 bits; four of them are a chunk, held in a long. Two signatures that differ in at most ``MOST_ERRORS``
+symbols cannot have two errors in every chunk (pigeonhole: 2 * 12 > 22), so some chunk has at most one;
+enumerating the symbol that may be wrong in each chunk gives keys that two such signatures are sure to
+share. A pair passes the join once, at its first chunk with at most one error, if its symbol distance and
+its set sizes allow, and if a bitmap does: each shingle flips one of 1024 bits, so that bitmaps cannot
+differ in more bits than the sets differ in shingles.
 
 Links are confirmed on full shingle sets, in two rounds. First every class is compared with one hub:
 the class most central in the keys they share. Then all candidate pairs in different components are
 compared. Pairs inside a component need no comparison, so that a large group of near copies costs
 one comparison per member, and no link between components is lost.
 
-At similarity 0.75 the symbol distances are binomial with means 16 of 64 and 48 of 256; the thresholds
-lie 3.5 and 3.7 standard deviations above, so of pairs exactly at the threshold about 4 in 10,000 are
-missed, and fewer above it.
+At similarity 0.75 the symbol distance is binomial with mean 12 and deviation 3; the threshold lies 3.5
+deviations above, so of pairs exactly at the threshold about 5 in 10,000 are missed, and fewer above it.
 """
 
 from __future__ import annotations
@@ -33,15 +33,15 @@ from rivulet.llm.components import components
 from rivulet.session import settle
 
 SHINGLE = 5
-SYMBOLS, CHUNKS, MOST_ERRORS = 64, 16, 28
-WIDE, MOST_WIDE = 256, 71
-PLANES = [f"p{i}" for i in range(2 * WIDE // 64)]  # for each 64 symbols the low and the high bits
+SYMBOLS, PER_CHUNK, MOST_ERRORS = 48, 4, 22
+CHUNKS = [f"c{i}" for i in range(SYMBOLS // PER_CHUNK)]  # four 16-bit symbols each
+FLIPS = [f"f{i}" for i in range(16)]  # 1024 bits
 CACHED_WORDS = 500_000
 RUNS = 64
 
 _random = np.random.default_rng(20240)
-FACTORS = _random.integers(0, 2**31, WIDE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-OFFSETS = _random.integers(0, 2**32, WIDE, dtype=np.uint32)
+FACTORS = _random.integers(0, 2**31, SYMBOLS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+OFFSETS = _random.integers(0, 2**32, SYMBOLS, dtype=np.uint32)
 PLACES = _random.integers(0, 2**62, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -71,80 +71,93 @@ class Shingler:
         return np.unique(sums)
 
 
-def min_hashes(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of ``WIDE`` mixed 32-bit minima per non-empty set."""
+def symbols(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of ``SYMBOLS`` 16-bit MinHash symbols per non-empty set."""
     x = np.concatenate(sets).astype(np.uint32)
     begins = np.cumsum([0, *map(len, sets[:-1])])
-    out = np.empty((len(sets), WIDE), np.uint32)
-    for j in range(WIDE):
+    out = np.empty((len(sets), SYMBOLS), np.uint32)
+    for j in range(SYMBOLS):
         out[:, j] = np.minimum.reduceat(x * FACTORS[j] + OFFSETS[j], begins)
+    # the minima are small numbers: mix their bits before 16 of them are kept
     out ^= out >> np.uint32(16)
     out *= np.uint32(0x7FEB352D)
     out ^= out >> np.uint32(15)
     out *= np.uint32(0x846CA68B)
-    return out ^ (out >> np.uint32(16))
+    return (out >> np.uint32(16)).astype("<u2")
 
 
-def planes(mins: np.ndarray) -> np.ndarray:
-    """The two lowest bits of each symbol, 64 symbols to a long: ``len(PLANES)`` longs a row."""
-    bits = [(mins >> np.uint32(b)) & np.uint32(1) for b in (0, 1)]
-    packed = [np.packbits(b.astype(np.uint8), axis=1, bitorder="little").view("<i8") for b in bits]
-    return np.concatenate(packed, axis=1)
-
-
-def chunk_keys(symbols: np.ndarray) -> np.ndarray:
-    """For each chunk and each place in it, a hash of the chunk without that place."""
-    width = SYMBOLS // CHUNKS
-    parts = symbols.reshape(len(symbols), CHUNKS, width).astype(np.uint64)
-    keys = np.empty((len(symbols), CHUNKS, width), np.uint64)
-    for gap in range(width):
-        key = np.arange(CHUNKS, dtype=np.uint64) * np.uint64(width) + np.uint64(gap)
-        for k in range(width):
-            if k != gap:
-                key = (key ^ parts[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
-                key = key ^ (key >> np.uint64(32))
-        keys[:, :, gap] = key
-    return keys.reshape(len(symbols), -1).view(np.int64)
+def flips(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of longs per set: the parity of the shingles that fall on each bit."""
+    bits = 64 * len(FLIPS)
+    at = np.repeat(np.arange(len(sets)) * bits, [len(s) for s in sets]) + (np.concatenate(sets) >> np.uint64(54)).astype(np.int64)
+    parity = (np.bincount(at, minlength=len(sets) * bits) & 1).astype(np.uint8).reshape(len(sets), bits)
+    return np.packbits(parity, axis=1, bitorder="little").view("<i8")
 
 
 PRINTS = pa.schema(
-    [("id", pa.int64()), ("n", pa.int64()), ("set", pa.binary()), ("symbols", pa.binary())]
-    + [(p, pa.int64()) for p in PLANES]
+    [("id", pa.int64()), ("n", pa.int64()), ("set", pa.binary()), *[(c, pa.int64()) for c in CHUNKS + FLIPS]]
 )
 
 
 def _prints(batches: Iterator[pa.RecordBatch]):
-    """Size, digest and signature of each text's shingle set."""
+    """Size, digest, signature and bitmap of each text's shingle set."""
     shingles = Shingler()
     for batch in batches:
         for part in slices(batch, 200):
             sets = [shingles(t) for t in binaries(part, "text")]
-            some = [k for k, s in enumerate(sets) if len(s) > 1]  # others are only linked with their equals
-            symbols: list[bytes | None] = [None] * len(sets)
-            longs = np.zeros((len(sets), len(PLANES)), np.int64)
+            some = [k for k, s in enumerate(sets) if len(s)]
+            longs = np.zeros((len(sets), len(CHUNKS) + len(FLIPS)), np.int64)
             if some:
-                mins = min_hashes([sets[k] for k in some])
-                longs[some] = planes(mins)
-                for k, row in zip(some, (mins[:, :SYMBOLS] >> np.uint32(16)).astype("<u2")):
-                    symbols[k] = row.tobytes()
+                given = [sets[k] for k in some]
+                longs[some] = np.concatenate([symbols(given).view("<i8"), flips(given)], axis=1)
             digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("id"), pa.array(map(len, sets), pa.int64()),
-                    pa.array(digests, pa.binary()), pa.array(symbols, pa.binary()),
-                    *[pa.array(longs[:, i]) for i in range(len(PLANES))],
+                    part.column("id"), pa.array(map(len, sets), pa.int64()), pa.array(digests, pa.binary()),
+                    *[pa.array(longs[:, i]) for i in range(longs.shape[1])],
                 ],
                 schema=PRINTS,
             )
 
 
-def _keys(batches: Iterator[pa.RecordBatch]):
-    for batch in batches:
-        for part in slices(batch, 1000):
-            rows = np.frombuffer(b"".join(part.column("symbols").to_pylist()), "<u2").reshape(-1, SYMBOLS)
-            keys = chunk_keys(rows)
-            ids = np.repeat(part.column("rep").to_numpy(), keys.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["key", "rep"])
+def chunk_keys() -> Column:
+    """(slot, key) for each chunk and each of its symbols: a hash of the chunk without that symbol."""
+    keys = []
+    for i, chunk in enumerate(CHUNKS):
+        for gap in range(PER_CHUNK):
+            slot, rest = i * PER_CHUNK + gap, ~(0xFFFF << 16 * gap) & (2**64 - 1)
+            rest = F.lit(rest - 2**64 if rest >= 2**63 else rest).cast("bigint")
+            keys.append(F.struct(F.lit(slot).alias("slot"), F.xxhash64(F.lit(slot), F.col(chunk).bitwiseAND(rest)).alias("key")))
+    return F.array(*keys)
+
+
+def errors(x: Column, y: Column) -> Column:
+    """In how many of its four symbols a chunk differs."""
+    z = x.bitwiseXOR(y)
+    for shift, kept in ((8, 0x00FF), (4, 0x000F), (2, 0x0003), (1, 0x0001)):
+        mask = F.lit(kept * 0x0001000100010001).cast("bigint")
+        z = z.bitwiseOR(F.shiftrightunsigned(z, shift)).bitwiseAND(mask)
+    return F.bit_count(z)
+
+
+def near(x: DataFrame, y: DataFrame, share: int) -> Column:
+    """Whether a pair that shares a key is a candidate, and the key the one at which it passes.
+
+    ``y`` has the columns of ``x`` with an underscore behind them.
+    """
+    wrong = [errors(x[c], y[f"{c}_"]) for c in CHUNKS]
+    total = reduce(lambda a, b: a + b, wrong)
+    first = F.coalesce(*[F.when(w <= 1, F.lit(i * PER_CHUNK) + F.when(w == 0, 0).otherwise(x["slot"] % PER_CHUNK)) for i, w in enumerate(wrong)])
+    apart = reduce(lambda a, b: a + b, [F.bit_count(x[f].bitwiseXOR(y[f"{f}_"])) for f in FLIPS])
+    both = x["n"] + y["n_"]
+    return (
+        (x["label"] != y["label_"])
+        & (100 * F.least(x["n"], y["n_"]) >= share * F.greatest(x["n"], y["n_"]))
+        # similarity of at least s means a difference of at most (1 - s) / (1 + s) of both sizes
+        & (apart * (100 + share) <= both * (100 - share))
+        & (total <= MOST_ERRORS)
+        & (x["slot"] == first)
+    )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]):
@@ -168,58 +181,39 @@ def confirmed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     )
 
 
-def _distance(x: DataFrame, y: DataFrame) -> Column:
-    half = len(PLANES) // 2
-    parts = [
-        F.bit_count(x[lo].bitwiseXOR(y[f"{lo}_"]).bitwiseOR(x[hi].bitwiseXOR(y[f"{hi}_"])))
-        for lo, hi in zip(PLANES[:half], PLANES[half:])
-    ]
-    return reduce(lambda a, b: a + b, parts)
-
-
 def link_classes(classes: DataFrame, sets_of, share: int) -> DataFrame:
     """(node, label) of the classes that are linked with others.
 
-    ``classes`` is (rep, n, symbols, planes); ``sets_of(reps)`` gives the shingle sets of some of them.
+    ``classes`` is (rep, n, chunks, flips); ``sets_of(reps)`` gives the shingle sets of some of them.
     """
-    keys = settle(classes.select("rep", "symbols").mapInArrow(_keys, "key bigint, rep bigint"), "keys")
+    keys = settle(classes.select("rep", F.inline(chunk_keys())), "keys")
     shared = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     held = settle(keys.join(shared, "key"), "shared_keys")
-    facts = settle(
-        held.groupBy("rep").agg(F.sum("members").alias("score"))
-        .join(classes.select("rep", "n", *PLANES), "rep"),
-        "candidates",
-    )
-    sets = sets_of(facts.select("rep"))
+    scores = settle(held.groupBy("rep").agg(F.sum("members").alias("score")), "candidates")
+    sets = sets_of(scores.select("rep"))
 
     # first round: one hub per class, the most central among the hubs of its keys
-    scored = held.join(facts.select("rep", "score"), "rep")
+    scored = held.join(scores, "rep")
     hubs = scored.groupBy("key").agg(F.max_by("rep", F.struct("score", -F.col("rep"))).alias("hub"), F.max("score").alias("top"))
-    met = held.join(hubs, "key").where("rep <> hub").groupBy("rep").agg(F.max_by("hub", F.struct("top", -F.col("hub"))).alias("hub"))
-    stars = confirmed(met.select(F.col("rep").alias("a"), F.col("hub").alias("b")), sets, share)
-    stars = settle(stars, "stars")
-    first = components(stars)
+    met = (
+        held.join(hubs, "key").where("rep <> hub")
+        .groupBy("rep").agg(F.max_by("hub", F.struct("top", -F.col("hub"))).alias("hub"))
+    )
+    stars = settle(confirmed(met.select(F.col("rep").alias("a"), F.col("hub").alias("b")), sets, share), "stars")
 
     # second round: candidate pairs that are still apart. In each key the members of its largest component
     # only meet the others.
-    labelled = facts.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "label", F.coalesce("label", "rep")
-    )
-    rows = settle(held.drop("members").join(labelled.drop("score"), "rep"), "labelled_keys")
+    first = components(stars).withColumnRenamed("node", "rep")
+    labels = scores.select("rep").join(first, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    rows = settle(held.drop("members").join(labels, "rep"), "labelled_keys")
     sizes = rows.groupBy("key", "label").agg(F.count("*").alias("m"))
     largest = sizes.groupBy("key").agg(
         F.max_by("label", F.struct("m", -F.col("label"))).alias("main"), F.count("*").alias("labels")
     ).where("labels > 1")
-    still = rows.join(largest, "key")
-    x = still.where("label <> main")
-    y = rows.toDF(*[f"{c}_" for c in rows.columns])
-    near = (
-        (x["label"] != y["label_"])
-        & (100 * F.least(x["n"], y["n_"]) >= share * F.greatest(x["n"], y["n_"]))
-        & (_distance(x, y) <= MOST_WIDE)
-    )
+    still = settle(rows.join(largest.drop("labels"), "key").join(classes, "rep"), "open_keys")
+    x, y = still.where("label <> main"), still.drop("main", "slot").toDF(*[f"{c}_" for c in still.drop("main", "slot").columns])
     pairs = (
-        x.join(y, (x["key"] == y["key_"]) & near)
+        x.join(y, (x["key"] == y["key_"]) & near(x, y, share))
         .select(F.least(x["rep"], y["rep_"]).alias("a"), F.greatest(x["rep"], y["rep_"]).alias("b"))
         .distinct()
     )
@@ -243,9 +237,10 @@ def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     first = given_sets.groupBy("run", "set").agg(F.min("id").alias("low"))
     whole = first.groupBy("set").agg(F.min("low").alias("rep"))
     members = settle(first.select("run", "set").join(whole, "set"), "classes")
+    # a set of one shingle is only linked with its equals
     classes = settle(
-        given_sets.where("symbols IS NOT NULL").join(members, ["run", "set"]).where("id = rep")
-        .select("rep", "n", "symbols", *PLANES).dropDuplicates(["rep"]),
+        given_sets.where("n > 1").join(members, ["run", "set"]).where("id = rep")
+        .select("rep", "n", *CHUNKS, *FLIPS).dropDuplicates(["rep"]),
         "signatures",
     )
 
@@ -264,4 +259,10 @@ def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     )
 
 
+def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", share: int = 75) -> DataFrame:
+    """The rows of ``docs`` that stand for their component; rows with a null id stay."""
+    gone = near_dedup(docs, id_column, text_column, share).where("NOT kept").select(F.col(id_column).alias("gone"))
+    return docs.join(gone, docs[id_column] == gone["gone"], "left_anti")
+
+
 _SQL = {pa.int64(): "bigint", pa.binary(): "binary"}
