@@ -20,12 +20,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import GAP, text_or_empty, unit
-from rivulet.llm.numeric import hypergeometric
+from rivulet.llm.numeric import hypergeometric, let
 from rivulet.session import settle
 
 WEIGHTS = (3, 1, 2)
 SPACES = " \t\n\x0b\f\r"
-WIDE = 1024  # nodes of the tree from which on a level is spread over tasks
+LEVELS = 6  # levels of the tree that are planned together
 
 
 def n_words(text: Column) -> Column:
@@ -75,18 +75,20 @@ def split_tree(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
 
         def draw(a: Column, c: Column) -> Column:
             u = unit(F.lit(seed), F.lit(level), F.col("node"), F.size(a["left"]))
-            x = hypergeometric(a["population"], c, a["draws"], u)
-            got = F.concat(a["left"], F.array(x))
-            x = F.element_at(got, -1)
-            return F.struct(
-                (a["population"] - c).alias("population"), (a["draws"] - x).alias("draws"), got.alias("left")
+            return let(
+                hypergeometric(a["population"], c, a["draws"], u),
+                lambda x: F.struct(
+                    (a["population"] - c).alias("population"),
+                    (a["draws"] - x).alias("draws"),
+                    F.concat(a["left"], F.array(x)).alias("left"),
+                ),
             )
 
         return F.aggregate("counts", begin, draw, lambda a: a["left"])
 
     for level in range(depth):
-        if 2**level == WIDE:
-            nodes = nodes.repartition("node")
+        if level % LEVELS == LEVELS - 1:  # the plan is cut, and the nodes so far are spread over tasks
+            nodes = settle(nodes.repartition("node"), "split_nodes")
         halves = nodes.withColumn("left", left_half(level))
         right = F.transform("counts", lambda c, i: c - F.get("left", i))
         both = F.array(
