@@ -25,7 +25,7 @@ from rivulet.llm.common import binaries, slices
 from rivulet.session import settle
 
 PIECES = "doc_id bigint, row bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
-CACHED_WORDS = 400_000  # words whose ids a worker keeps; others are encoded for each slice anew
+CACHED_WORDS = 1_000_000  # words whose ids a worker keeps; others are encoded for each slice anew
 
 
 class WordEncoder:
