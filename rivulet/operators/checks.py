@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.model import OUT_OF_SCOPE
 from rivulet.operators.dedupe import duplicate_keys
 
 
@@ -36,7 +37,7 @@ def scope_respected(detail: DataFrame, schemas: list[str]) -> DataFrame:
     """No table of a configured schema was skipped as out of scope."""
     wrong = detail.filter(
         (F.col("status") == "SKIPPED")
-        & F.col("error_message").like("%not in run scope%")
+        & F.col("error_message").contains(OUT_OF_SCOPE)
         & F.col("schema_name").isin(schemas)
     )
     return _rows("scope", _count(wrong), F.col("measured") == 0)
@@ -78,6 +79,17 @@ def no_duplicate_keys(target: DataFrame, keys: list[str]) -> DataFrame:
     return _rows("duplicate_keys", _count(duplicate_keys(target, keys)), F.col("measured") == 0)
 
 
+def unregistered_kept(before: DataFrame, after: DataFrame, registry: DataFrame, tenant_id: int) -> DataFrame:
+    """A run takes no staged row of a table that is not registered; ``measured`` counts those it took."""
+    tables = ["source_schema", "source_table"]
+    had = unregistered_stage(before, registry, tenant_id)
+    has = unregistered_stage(after, registry, tenant_id).withColumnRenamed("rows", "left")
+    lost = had.join(has, tables, "left").agg(
+        F.coalesce(F.sum(F.greatest(F.col("rows") - F.coalesce("left", F.lit(0)), F.lit(0))), F.lit(0)).alias("measured")
+    )
+    return _rows("unregistered_kept", lost, F.col("measured") == 0)
+
+
 def audit_complete(headers: DataFrame, detail: DataFrame) -> DataFrame:
     """Per run: the header's table count equals the tables its detail rows name."""
     per_table = detail.select("execution_id", "tenant_id", "schema_name", "source_table").distinct()
@@ -127,9 +139,12 @@ def modified_time_present(target: DataFrame, column: str = "ModifiedOn") -> Data
 def all_checks(
     *, detail: DataFrame, headers: DataFrame, marks: DataFrame, gate: DataFrame, cursors: DataFrame,
     stage: DataFrame, registry: DataFrame, targets: dict[str, tuple[DataFrame, list[str]]],
-    schemas: list[str], tenant_id: int,
+    schemas: list[str], tenant_id: int, stage_before: DataFrame,
 ) -> DataFrame:
-    """Every check of one run folded into ``(check, measured, status)``."""
+    """Every check of one run folded into ``(check, measured, status)``.
+
+    ``stage_before`` is the stage as the run found it: rows of unregistered tables must all still be there.
+    """
     audit = audit_complete(headers, detail).filter("status = 'FAIL'")
     cursor = cursor_matches(cursors, marks)
     parts = [
@@ -138,9 +153,7 @@ def all_checks(
         _rows("stage_cleaned", _count(stage_orphans(stage, detail, tenant_id)), F.col("measured") == 0),
         _rows("audit", _count(audit), F.col("measured") == 0),
         cursor.select("check", F.col("cursor_batch").alias("measured"), "status"),
-        _rows(
-            "unregistered_kept", _count(unregistered_stage(stage, registry, tenant_id)), F.col("measured") >= 0
-        ),
+        unregistered_kept(stage_before, stage, registry, tenant_id),
     ]
     for name, (state, keys) in targets.items():
         parts.append(no_duplicate_keys(state, keys).withColumn("check", F.lit(f"duplicate_keys {name}")))

@@ -208,11 +208,21 @@ def test_cycle_checks_pass_on_a_clean_run(spark):
         detail=detail, headers=headers, marks=cycle.watermarks, gate=cycle.gate, cursors=cycle.cursors, stage=cycle.stage,
         registry=spark.createDataFrame(REGISTRY, model.REGISTRY),
         targets={"person": (cycle.states["app", "person"], ["tenant_id", "Id"])}, schemas=["app"], tenant_id=1,
+        stage_before=read_stage(spark, run.stage_path),
     )
     bad = [r for r in result.collect() if r["status"] != "PASS"]
     assert not bad and result.count() >= 8
 
 
+def test_lost_rows_of_unregistered_tables_are_seen(spark):
+    _, run = ingest(spark, MESSAGES)
+    stage = read_stage(spark, run.stage_path)
+    registry = spark.createDataFrame(REGISTRY, model.REGISTRY)
+    after = stage.filter("source_table <> 'unknown'")
+    assert rows(checks.unregistered_kept(stage, stage, registry, 1), "measured", "status") == [(0, "PASS")]
+    assert rows(checks.unregistered_kept(stage, after, registry, 1), "measured", "status") == [(1, "FAIL")]
+
+
 def test_out_of_scope_and_unsettled(spark):
     _, run = ingest(spark, MESSAGES)
     stage = read_stage(spark, run.stage_path)

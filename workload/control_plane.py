@@ -218,8 +218,10 @@ def _(i: Inputs) -> DataFrame:
 
 @query(
     "q_chk_audit",
-    """SELECT execution_id, CAST(total_tables AS BIGINT) AS header_tables, CAST(total_tables AS BIGINT) AS detail_tables,
-              'PASS' AS status FROM d_headers""",
+    """SELECT execution_id, CAST(total_tables AS BIGINT) AS header_tables, coalesce(n, 0) AS detail_tables,
+              CASE WHEN total_tables = coalesce(n, 0) THEN 'PASS' ELSE 'FAIL' END AS status
+       FROM d_headers LEFT JOIN (SELECT execution_id, count(DISTINCT (tenant_id, schema_name, source_table)) AS n
+                                 FROM f_detail GROUP BY 1) USING (execution_id)""",
     {"d_headers": _HEADERS},
 )
 def _(i: Inputs) -> DataFrame:
