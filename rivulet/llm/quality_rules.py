@@ -120,10 +120,16 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
+def _first_failed(share: Column, cutoffs: list[float]) -> Column:
+    """The place, from 1, of the most lenient cutoff that a text's measure lies above; 0 if of none."""
+    failed = F.size(F.filter(F.array(*map(F.lit, cutoffs)), lambda c: share > c))
+    return F.when(failed > 0, len(cutoffs) + 1 - failed).otherwise(0)
+
+
 def certified_cutoffs(holdout: DataFrame, alpha: float, delta: float) -> DataFrame:
     """(stratum, rule, cutoff, n_good, good_rejected, bad_rejected) from measured rows with ``good``.
 
-    Counts are taken per level (the number of cutoffs a text fails), so rows are reduced before they are
+    Counts are taken per level (the first cutoff a text fails), so rows are reduced before they are
     shuffled, and summed over levels afterwards.
     """
     shares = _shares()
@@ -131,7 +137,7 @@ def certified_cutoffs(holdout: DataFrame, alpha: float, delta: float) -> DataFra
         *[
             F.struct(
                 F.lit(rule).alias("rule"),
-                F.size(F.filter(F.array(*map(F.lit, RULES[rule])), lambda c, s=shares[rule]: s > c)).alias("level"),
+                _first_failed(shares[rule], RULES[rule]).alias("level"),
             )
             for rule in RULES
         ]
@@ -151,7 +157,7 @@ def certified_cutoffs(holdout: DataFrame, alpha: float, delta: float) -> DataFra
     )
     strata = counts.groupBy("stratum").agg(F.lit(1).alias("one"))
     steps = strata.select("stratum", F.inline(grid))
-    rejected = Window.partitionBy("stratum", "rule").orderBy(F.desc("level"))
+    rejected = Window.partitionBy("stratum", "rule").orderBy("level")
     whole = Window.partitionBy("stratum", "rule")
     same = [steps["stratum"].eqNullSafe(counts["stratum"]), steps["rule"] == counts["rule"]]
     # level 0 rows belong to no step but count as texts of the stratum
