@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from rivulet import model
 from rivulet.plans.bronze import landing_load
+from rivulet.plans.landing_run import run_landing
 from rivulet.session import scratch
 from rivulet.sources import landing
 from rivulet.sources.sinks import balanced
@@ -118,3 +121,49 @@ def _(i: Inputs) -> DataFrame:
     # the tie-break inside a batch goes by the columns in this order
     pending = pending.select("tenant_id", "l_orderkey", "l_linenumber", "price", "quantity", "shipped", "batch_id")
     return landing_load(target, pending, ["l_orderkey", "l_linenumber"], run_id=RUN, as_of=as_of())
+
+
+_RUN_PENDING = """
+    SELECT f.tenant_id, f.schema_name, f.table_name, f.batch_id, count(*) AS n FROM f_landing f
+    LEFT JOIN f_watermark w ON w.tenant_id = f.tenant_id AND w.schema_name = f.schema_name AND w.source_table = f.table_name
+    WHERE w.last_batch_id IS NULL OR f.batch_id > w.last_batch_id GROUP BY ALL"""
+
+
+@query(
+    "q_landing_cycle",
+    """SELECT 'result' AS kind, tenant_id, table_name AS name, batch_id, n AS value,
+              CASE WHEN table_name = 'open_lines' THEN 'SUCCESS' ELSE 'SKIPPED' END AS status FROM
+           (SELECT tenant_id, table_name, batch_id, CASE WHEN table_name = 'open_lines' THEN n ELSE 0 END AS n FROM d_pending)
+       UNION ALL
+       SELECT 'mark', tenant_id, name, max(batch_id), NULL, NULL FROM (
+           SELECT tenant_id, table_name AS name, batch_id FROM d_pending WHERE table_name = 'open_lines'
+           UNION ALL SELECT tenant_id, source_table, last_batch_id FROM f_watermark) GROUP BY ALL
+       UNION ALL
+       SELECT 'gate', NULL, NULL, batch_id, NULL, NULL FROM (
+           SELECT DISTINCT batch_id FROM d_pending WHERE table_name = 'open_lines' AND batch_id > 19940101000000
+           UNION SELECT 19940101000000)""",
+    {"d_pending": _RUN_PENDING},
+)
+def _(i: Inputs) -> DataFrame:
+    """A landing run over the tree: one table is registered, the other is skipped; marks and gate move on."""
+    spark = i.spark
+    registry = spark.createDataFrame([("shop", "open_lines", "lines", "l_orderkey,l_linenumber", True)], model.REGISTRY)
+    gate = spark.createDataFrame([(19940101000000, None, "before")], model.GATE)
+    target = i.sql(
+        """SELECT tenant_id, l_orderkey, l_linenumber, price, quantity, shipped, batch_id, 'OLD' AS _op
+           FROM f_landing WHERE table_name = 'filed_lines' AND l_linenumber < 0"""
+    )
+    marks = i.f_watermark.withColumn("updated_on", as_of())
+    run = run_landing(tree(i), registry, {"lines": target}.get, marks, gate, run_id=RUN, as_of=as_of())
+    none = F.lit(None)
+    result = run.results.select(
+        F.lit("result").alias("kind"), "tenant_id", F.col("source_table").alias("name"), "batch_id",
+        F.col("inserted_rows").alias("value"), "status",
+    )
+    mark = run.watermarks.select(
+        F.lit("mark"), "tenant_id", "source_table", "last_batch_id", none.cast("bigint"), none.cast("string")
+    )
+    opened = run.gate.select(
+        F.lit("gate"), none.cast("int"), none.cast("string"), "batch_id", none.cast("bigint"), none.cast("string")
+    )
+    return result.union(mark).union(opened)
