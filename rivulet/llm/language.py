@@ -29,7 +29,7 @@ MAX_WORDS = 50_000  # per language
 MAX_GRAMS = 10_000  # per language and length
 MAX_LANGUAGES = 500  # labels with the most texts
 FLUSH = 300_000  # different words a task counts before it passes them on
-CACHED_TOKENS = 300_000
+CACHED_TOKENS = 800_000
 UNDETERMINED = "und"
 
 
@@ -134,7 +134,7 @@ class Scorer:
             table = self.model["grams"][n]
             found = [table[g] for g in grams(word, n) if g in table]
             if found:
-                return np.mean(found, axis=0).tolist()
+                return [sum(logs) / len(found) for logs in zip(*found)]
         return None
 
     def _token(self, token: bytes) -> int:
