@@ -1,11 +1,12 @@
 """Near-equal lines by an exact set-similarity join; of similar lines all but the first go.
 
-A line is the set of its lower-cased words. Lines with equal sets are one class, which the first line
-stands for. Words are ordered by rarity: by how often the corpus has their bucket of ``BUCKETS``, a table
-whose size is fixed. If two sets have Jaccard similarity of at least ``NUM / DEN``, the shortest prefixes
-that can reach it have a word in common, so classes meet by prefix words only. A pair passes if its sizes,
-the places of the shared word and a bitmap (each word flips one of 64 bits, so bitmaps differ in no more
-bits than sets differ in words) leave room for enough common words. What passes is verified on full sets.
+A line is the set of its lower-cased words. Words are ordered by rarity: by how often the corpus has their
+bucket of ``BUCKETS``, a table whose size is fixed. A word is a number, its rarity before 53 bits of its
+hash, so that sorted numbers are words in order. Lines with equal sets are one class, which the first line
+stands for. If two sets have Jaccard similarity of at least ``NUM / DEN``, the shortest prefixes that can
+reach it have a word in common, so classes meet by prefix words only. A pair passes if its sizes, the
+places of the shared word and a bitmap (each word flips one of 64 bits, so bitmaps differ in no more bits
+than sets differ in words) leave room for enough common words. What passes is verified on full sets.
 
 Classes are first compared with one class per prefix word, the earliest: in a large group of similar lines
 that already removes nearly all. Only classes that are left are then compared with all others.
@@ -13,6 +14,8 @@ that already removes nearly all. Only classes that are left are then compared wi
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,50 +28,56 @@ RUNS = 64
 SPACES = " \t\x0b\f\r"
 
 
-def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, print, line_no, words) of lines with a word; words are sorted distinct hashes."""
+def _lines(docs: DataFrame, id_column: str, text_column: str, rarity: Column) -> DataFrame:
+    """(id, print, line_no, words) of lines with a word; words are distinct and the rarest come first."""
     text = text_or_empty(text_column)
     rows = docs.select(
         F.col(id_column).alias("id"), F.xxhash64(text).alias("print"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")
     )
     trimmed = rows.withColumn("line", F.btrim("line", F.lit(SPACES))).where("line <> ''")
-    words = F.transform(F.array_distinct(F.split(F.lower("line"), GAP)), lambda w: F.xxhash64(w))
-    return trimmed.withColumn("words", F.sort_array(words)).drop("line")
+    return trimmed.withColumn("words", _words("line", rarity)).drop("line")
 
 
-def _class_columns() -> list[Column]:
-    return [F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b")]
+def _words(line: str, rarity: Column) -> Column:
+    hashes = F.transform(F.split(F.lower(line), GAP), lambda w: F.xxhash64(w))
+    numbers = F.transform(
+        hashes,
+        lambda h: F.shiftleft(
+            F.coalesce(F.get(rarity, h.bitwiseAND(F.lit(BUCKETS - 1).cast("bigint")).cast("int")), F.lit(0).cast("bigint")), 53
+        ).bitwiseOR(F.shiftrightunsigned(h, 11)),
+    )
+    return F.sort_array(F.array_distinct(numbers))
 
 
-def _frequencies(lines: DataFrame) -> Column:
-    """How many lines have a word of each bucket, as one array of ``BUCKETS`` numbers."""
-    counts = lines.select(F.explode("words").alias("w")).groupBy(F.pmod("w", F.lit(BUCKETS)).alias("bucket")).count()
-    found = {r["bucket"]: r["count"] for r in counts.collect()}  # at most BUCKETS rows
-    return F.split(F.lit(",".join(str(found.get(b, 0)) for b in range(BUCKETS))), ",").cast("array<bigint>")
+def _frequencies(docs: DataFrame, text_column: str) -> Column:
+    """For each bucket how often the corpus has its words, on a scale of 1024 steps."""
+    words = docs.select(F.explode(F.split(F.lower(text_or_empty(text_column)), GAP)).alias("w"))
+    bucket = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1).cast("bigint"))
+    found = {r["bucket"]: r["count"] for r in words.groupBy(bucket.alias("bucket")).count().collect()}  # at most BUCKETS rows
+    steps = [min(1023, int(24 * math.log2(found.get(b, 0) + 1))) for b in range(BUCKETS)]
+    return F.split(F.lit(",".join(map(str, steps))), ",").cast("array<bigint>")
 
 
-def _prefixes(lines: DataFrame, rarity: Column) -> DataFrame:
-    """(word, a, n, place, bits, low): the prefix words of each class, with the smallest id that has it."""
+def _prefix() -> Column:
+    """The words of which a similar set must have one; none for sets that only their equals resemble."""
     size = F.size("words")
-    # sizes below DEN / (DEN - NUM) - 1 have no partner but their equals
-    sets = lines.where((size + 1) * NUM <= size * DEN)
-    by_rarity = F.sort_array(
-        F.transform("words", lambda w: F.struct(F.get(rarity, F.pmod(w, F.lit(BUCKETS)).cast("int")).alias("f"), w.alias("w")))
-    )
     reach = size - F.ceil(size * NUM / F.lit(DEN)).cast("int") + 1
+    return F.when((size + 1) * NUM <= size * DEN, F.slice("words", F.lit(1), reach)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _bits() -> Column:
     one = F.lit(1).cast("bigint")
-    bits = F.aggregate(
+    return F.aggregate(
         "words",
         F.lit(0).cast("bigint"),
-        lambda seen, w: seen.bitwiseXOR(F.call_function("shiftleft", one, F.pmod(F.shiftright(w, 20), F.lit(64)).cast("int"))),
-    )
-    return (
-        sets.select("id", *_class_columns(), size.alias("n"), bits.alias("bits"), F.posexplode(F.slice(by_rarity, F.lit(1), reach)).alias("place", "p"))
-        .groupBy(F.col("p.w").alias("word"), "a")
-        .agg(F.first("n").alias("n"), F.first("place").alias("place"), F.first("bits").alias("bits"), F.min("id").alias("low"))
+        lambda seen, w: seen.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63).cast("bigint")).cast("int"))),
     )
 
 
+def _class_columns() -> list[Column]:
+    return [F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b")]
+
+
 def _can_match(x: dict[str, Column], y: dict[str, Column]) -> Column:
     """Whether sizes, places and bitmaps leave room for ``NUM / DEN`` similarity."""
     both = x["n"] + y["n"]
@@ -103,16 +112,22 @@ def similar_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     Lines come in order of id (null ids first), ``print`` and number.
     """
-    lines = _lines(docs, id_column, text_column)
+    rarity = _frequencies(docs, text_column)
     key = F.struct("id", "print", "line_no")
-    narrow = settle(
-        lines.select("id", "print", "line_no", *_class_columns()).withColumn("run", F.pmod(F.xxhash64("id", "print"), F.lit(RUNS))),
+    lines = settle(
+        _lines(docs, id_column, text_column, rarity).select(
+            "id", "print", "line_no", *_class_columns(), F.size("words").alias("n"), _bits().alias("bits"), _prefix().alias("prefix"),
+            F.pmod(F.xxhash64("id", "print"), F.lit(RUNS)).alias("run"),
+        ),
         "lines",
     )
+    narrow = lines.select("id", "print", "line_no", "a", "b", "run")
     # classes in two steps, as one line may make up much of the corpus
     parts = narrow.groupBy("run", "a", "b").agg(F.min(key).alias("first"))
-    classes = settle(parts.groupBy("a", "b").agg(F.min("first").alias("first")), "classes")
-    rows = settle(_prefixes(lines, _frequencies(lines)), "prefixes")
+    classes = settle(
+        lines.groupBy("a", "b").agg(F.min(key).alias("first"), *[F.first(c).alias(c) for c in ("n", "bits", "prefix")]), "classes"
+    )
+    rows = classes.select("a", "n", "bits", F.col("first.id").alias("low"), F.posexplode("prefix").alias("place", "word"))
     met = rows.groupBy("word").agg(F.min("a").alias("a0"), F.max("a").alias("a1")).where("a0 <> a1").select("word")
     shared = settle(rows.join(met, "word"), "shared_prefixes")
 
@@ -137,7 +152,7 @@ def similar_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             F.col("did").alias("id"),
             F.explode(F.transform("spots", lambda k: F.element_at(F.split("text", "\n"), k + 1))).alias("text"),
         )
-        sets = _lines(texts, "id", "text").select("words", *_class_columns()).dropDuplicates(["a", "b"])
+        sets = _lines(texts, "id", "text", rarity).select("words", *_class_columns()).dropDuplicates(["a", "b"])
         first = classes.select("a", "b", "first")
         return settle(later_matches(found, first, sets.join(wanted, "a", "left_semi")), "later")
 
