@@ -18,6 +18,7 @@ from rivulet.llm.packing import WordEncoder, pack
 from rivulet.llm.quality_classifier import score_quality
 from rivulet.llm.quality_rules import quality_rules
 from rivulet.llm.quality_rules_sql import ORACLE as QUALITY_RULES_SQL
+from rivulet.llm.simhash import simhash_dedup
 from rivulet.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +98,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_rules", QUALITY_RULES_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_simhash_near_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(table(spark, sf_dir, "documents"))
