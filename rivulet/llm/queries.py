@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from rivulet.llm.line_dedup import line_dedup
 from rivulet.llm.mixing import mix
 from rivulet.llm.near_dedup import near_dedup
 from rivulet.llm.packing import WordEncoder, pack
+from rivulet.llm.periodic_runs import Words, periodic_runs
 from rivulet.llm.quality_classifier import score_quality
 from rivulet.llm.quality_rules import quality_rules
 from rivulet.llm.quality_rules_sql import ORACLE as QUALITY_RULES_SQL
@@ -100,6 +102,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def with_planted_runs(doc_id: int | None, words: Words) -> Words:
+    """Repeat a stretch to the end of about one text in ten, chosen by id, so that the table holds runs."""
+    h, n = 1 if doc_id is None else zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    """The longest run of each text, and digests of all runs and of the collapsed text."""
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("before"), (-r["period"]).alias("fewer"))))
+    found = found.withColumn("best", best)
+    length, start, period = F.col("best.length"), -F.col("best.before"), -F.col("best.fewer")
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * best.length div -best.fewer").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(table(spark, sf_dir, "documents"), rewrite=with_planted_runs))
+
+
 @query("op13_simhash_near_dedup")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"))
