@@ -11,9 +11,10 @@ at once, read off the tally: a pair shares either five positions or more, and so
 Lists of four bytes (70 of them) therefore also hold the parities of the other bytes, up to flipping them all, and only
 fingerprints of opposite ``side`` meet there. Of N fingerprints without likeness about 1.1e-9 N^2 / 2 pairs meet.
 
-Only distinct fingerprints are indexed. In a list every fingerprint first meets the smallest one (its hub);
-then only fingerprints that are still in different components meet each other. A crowd of near copies costs
-one comparison per fingerprint and list, and no link between components is lost.
+Only distinct fingerprints are indexed. In a list every fingerprint first meets the smallest one (a hub), and is linked
+with the smallest hub that it is near to; then only fingerprints that are still in different components meet each
+other. A crowd of near copies costs one comparison per fingerprint and list and one link per fingerprint, and no
+link between components is lost.
 """
 
 from __future__ import annotations
@@ -135,7 +136,7 @@ def link_prints(prints: DataFrame) -> DataFrame:
     )
     stars = settle(
         held.where((F.col("bits") != F.col("hub")) & linked(F.col("bits"), F.col("hub")))
-        .select(F.col("bits").alias("a"), F.col("hub").alias("b")).distinct(),
+        .groupBy(F.col("bits").alias("a")).agg(F.min("hub").alias("b")),
         "stars",
     )
 
