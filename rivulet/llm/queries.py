@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import table
+from rivulet.llm.conversation_repair import digests, repair
 from rivulet.llm.exact_dedup import exact_dedup
 from rivulet.llm.language import identify_language
 from rivulet.llm.license_scan import scan_licenses
@@ -22,6 +23,7 @@ from rivulet.llm.quality_rules import quality_rules
 from rivulet.llm.quality_rules_sql import ORACLE as QUALITY_RULES_SQL
 from rivulet.llm.simhash import simhash_dedup
 from rivulet.llm.toxicity import score_toxicity
+from rivulet.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,6 +138,41 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs(table(spark, sf_dir, "documents"), rewrite=with_planted_runs))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults in a quarter of their turns, chosen by conversation and turn."""
+
+    def shown(column: str):
+        return F.coalesce(F.col(column).cast("string"), F.lit(" "))
+
+    kind = F.pmod(F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")), F.lit(20))
+    rows = conversations.select("conv_id", "turn", shown("role").alias("role"), shown("text").alias("text"), kind.alias("kind"))
+    return rows.where("kind <> 0").select(
+        "conv_id",
+        "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "")
+        .when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    report, turns = repair(settle(damaged(given), "damaged"))
+    of_all = given.select("conv_id").distinct()
+    hashes = digests(turns).select(F.col("conv_id").alias("c"), "repaired_sha256")
+    report = report.withColumnRenamed("conv_id", "r")
+    found = of_all.join(report, F.col("conv_id").eqNullSafe(F.col("r")), "left").join(hashes, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return found.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
 @query("op13_simhash_near_dedup")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"))
