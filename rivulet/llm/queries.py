@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.common import table
 from rivulet.llm.conversation_repair import digests, repair
+from rivulet.llm.conversation_repair_sql import ORACLE as CONVERSATION_REPAIR_SQL
 from rivulet.llm.exact_dedup import exact_dedup
 from rivulet.llm.language import identify_language
 from rivulet.llm.license_scan import scan_licenses
@@ -156,7 +157,7 @@ def damaged(conversations: DataFrame) -> DataFrame:
     ).drop("copy")
 
 
-@query("op12_conversation_repair")
+@query("op12_conversation_repair", CONVERSATION_REPAIR_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations")
     report, turns = repair(settle(damaged(given), "damaged"))
