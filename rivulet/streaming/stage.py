@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.payload import stage_envelope, tenant_cross_check
+from rivulet.streaming.ledger import Stage, in_sequence, source_places
 
 MESSAGE = "value binary, timestamp timestamp, partition int, offset bigint"
 
@@ -57,9 +57,9 @@ class StageRun:
     stream_id: str
     ingest_ts: Column | None = None
 
-    def staged(self, messages: DataFrame, micro_batch_id: int, base: int = 0) -> DataFrame:
-        """Envelope, filters and sequence for one micro-batch; the same messages again give the same result."""
-        rows = tenant_cross_check(
+    def enveloped(self, messages: DataFrame, micro_batch_id: int) -> DataFrame:
+        """Envelope and filters for one micro-batch."""
+        return tenant_cross_check(
             stage_envelope(
                 messages,
                 tenant_id=self.tenant_id,
@@ -70,52 +70,32 @@ class StageRun:
                 ingest_ts=self.ingest_ts,
             ),
             self.expected_db,
-        ).withColumn("ingest_date", F.col("ingest_ts").cast("date"))
-        return sequenced(rows, base)
+        )
 
     def append_batch(self, messages: DataFrame, micro_batch_id: int) -> None:
-        """The only write. A retried micro-batch replaces its own folder, so rows land once.
+        """Stage one micro-batch. A retry replaces its own folder, so rows land once and keep their sequences.
 
         The folder is named by the stream (one per checkpoint) and the micro-batch, because micro-batch
-        numbers start over with a new checkpoint. Sequences go on from the highest one staged before, by
+        numbers start over with a new checkpoint. Sequences go on from the highest one that the ledger knows, by
         whichever stream, so a stage has one writer at a time.
         """
-        folder = f"{self.stage_path}/stream_id={self.stream_id}/micro_batch_id={micro_batch_id}"
-        base = self._staged_up_to(messages.sparkSession, micro_batch_id)
-        self.staged(messages, micro_batch_id, base).drop("micro_batch_id").write.mode("overwrite").parquet(folder)
-
-    def _staged_up_to(self, spark: SparkSession, micro_batch_id: int) -> int:
-        """The highest sequence outside this micro-batch's own folder; only that column is read."""
-        try:
-            stage = spark.read.parquet(self.stage_path)
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            return 0
-        own = (F.col("stream_id").cast("string") == self.stream_id) & (F.col("micro_batch_id") == micro_batch_id)
-        return stage.filter(~own).agg(F.max("stage_seq")).first()[0] or 0
+        spark = messages.sparkSession
+        # one instant for the whole micro-batch: it settles as a whole
+        at = spark.range(1).select((F.current_timestamp() if self.ingest_ts is None else self.ingest_ts)).first()[0]
+        Stage(spark, self.stage_path).put(
+            self.enveloped(messages, micro_batch_id), tenant_id=self.tenant_id, stream_id=self.stream_id,
+            micro_batch_id=micro_batch_id, ingest_ts=at,
+        )
 
 
 def sequenced(rows: DataFrame, base: int = 0) -> DataFrame:
     """Arrival sequence above ``base``: partition after partition, in each by the source's offsets.
 
     All changes of one key come through one partition, so offsets tell their order even where log position
-    and time are equal. Only the offset range of each partition passes through the driver; no row is
-    sorted or shuffled.
+    and time are equal. Only the offset range of each partition passes through the driver. Rows without partition or
+    offset are refused.
     """
-    ranges = (
-        rows.groupBy("source_partition")
-        .agg(F.min("eh_enqueued_ts").alias("began"), F.min("source_offset").alias("low"), F.max("source_offset").alias("high"))
-        .orderBy("began", "source_partition").collect()
-    )
-    starts, at = [], base + 1
-    for r in ranges:
-        starts.append((r["source_partition"], at - r["low"]))
-        at += r["high"] - r["low"] + 1
-    # a row for each partition of the source that the micro-batch reads
-    shift = rows.sparkSession.createDataFrame(starts, "_partition string, _shift bigint")
-    placed = rows.join(F.broadcast(shift), F.col("source_partition") == F.col("_partition"))
-    return placed.withColumn("stage_seq", F.col("source_offset") + F.col("_shift")).drop("_partition", "_shift")
+    return in_sequence(rows, source_places(rows, base))
 
 
 def start_staging(
@@ -133,5 +113,4 @@ def start_staging(
 
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     """All staged rows, whichever stream wrote them."""
-    stage = spark.read.parquet(path)
-    return stage.withColumn("micro_batch_id", F.col("micro_batch_id").cast("bigint"))
+    return Stage(spark, path).rows()

@@ -43,4 +43,4 @@ def naive(df: DataFrame) -> DataFrame:
 
 
 def load() -> None:
-    from workload import changes, control_plane, dimension, landing_tree, payloads, reconcile, staging  # noqa: F401
+    from workload import changes, control_plane, cycles, dimension, landing_tree, payloads, reconcile, staging  # noqa: F401
