@@ -121,18 +121,23 @@ def interim_fill(
 def ghost_sweep(
     target: DataFrame, source_keys: DataFrame, keys: list[str], *, tenant_id: int, batch_id: int,
     schema_name: str, source_table: str, bronze_table: str, as_of: Column, max_pct: float = 10.0,
-    dry_run: bool = False,
+    dry_run: bool = False, buckets: int | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(new state, doomed key log, report)`` for one tenant of one table.
 
+    With ``buckets`` keys are compared only where checksums of that many key buckets differ; it pays for tables that
+    are much larger than what differs.
+
     Ghost keys are found once and settled, as counts, log and delete all need them. The decision joins
     back as a one-row frame: when the fuse blows or the run is dry, no ghost passes and the state stays.
     """
     mine = target.filter(F.col("tenant_id") == tenant_id)
     narrow = mine.select("tenant_id", *keys, "batch_id")
-    found = settle(
-        ghosts.race_guard(ghosts.detect(narrow, source_keys, keys, batch_id), source_keys, keys), "ghosts"
+    gone = (
+        ghosts.detect(narrow, source_keys, keys, batch_id) if buckets is None
+        else ghosts.detect_by_sums(narrow, source_keys, keys, batch_id, buckets)
     )
+    found = settle(ghosts.race_guard(gone, source_keys, keys), "ghosts")
     counts = mine.agg(F.count(F.lit(1)).alias("bronze_rows")).join(
         F.broadcast(found.agg(F.count(F.lit(1)).alias("ghost_rows")))
     ).withColumn("tenant_id", F.lit(tenant_id).cast("int"))

@@ -21,6 +21,12 @@ def _(i: Inputs) -> DataFrame:
     return ghosts.detect(i.f_bronze, i.f_source_ok, KEYS, BATCH)
 
 
+@query("q_ghost_buckets", f"SELECT b.* FROM f_bronze b WHERE {_GHOST}")
+def _(i: Inputs) -> DataFrame:
+    """The same ghosts, looked for only in key buckets whose checksums differ."""
+    return ghosts.detect_by_sums(i.f_bronze, i.f_source_ok, KEYS, BATCH)
+
+
 _EVENTS = "SELECT event_id, CAST(year(ts) * 10000000000 + month(ts) * 100000000 + day(ts) * 1000000 AS BIGINT) AS batch_id, value FROM {events}"
 
 
@@ -91,8 +97,8 @@ def _(i: Inputs) -> DataFrame:
     f"""SELECT 'shop' AS schema_name, 'orders' AS source_table, 'shop_orders' AS bronze_table,
                CAST(ghost_rows AS BIGINT) AS ghost_rows, bronze_rows,
                CASE status WHEN 'DELETED' THEN 'DRY' ELSE status END AS status,
-               CASE WHEN status = 'ABORTED_PCT_FUSE' THEN 'ghosts=' || CAST(CAST(ghost_rows AS BIGINT) AS STRING)
-                    || ' is >10% of target rows; check the source read' END AS error,
+               CASE WHEN status = 'ABORTED_PCT_FUSE' THEN 'nothing deleted: ' || CAST(round(ghost_pct, 2) AS STRING)
+                    || ' percent missing at the source, limit 10' END AS error,
                tenant_id, CAST({BATCH} AS BIGINT) AS batch_id, TRUE AS dry_run, TIMESTAMP '{AS_OF}' AS run_ts
         FROM (SELECT * FROM ({_FUSE.format("ok", BATCH, _SPARED.format("ok", 1))}) a WHERE tenant_id = 1
               UNION ALL SELECT * FROM ({_FUSE.format("bad", BATCH, _SPARED.format("bad", 4))}) b WHERE tenant_id = 4) c""",
