@@ -84,6 +84,29 @@ def lag_profile(stage: DataFrame, as_of: Column, accuracy: int | None = 10_000)
     )
 
 
+LAG_SKETCH = 800  # size of lag sketches: ranks are wrong by about half a percent
+
+
+def lag_sketches(stage: DataFrame, as_of: Column, k: int = LAG_SKETCH) -> DataFrame:
+    """A quantile sketch of the lag per staged table, small enough to keep for every cycle and mergeable with others."""
+    rows = stage.filter(F.col("source_commit_ts").isNotNull()).select(
+        "source_schema", "source_table", lag_seconds(as_of).cast("bigint").alias("lag")
+    )
+    return rows.groupBy("source_schema", "source_table").agg(F.kll_sketch_agg_bigint("lag", F.lit(k)).alias("lag_sketch"))
+
+
+def lag_over_cycles(kept: DataFrame, ranks: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:
+    """Rows and lag quantiles per staged table over all cycles of ``kept`` (source_schema, source_table, lag_sketch).
+
+    Sketches merge without their rows, so a month of cycles costs a row per cycle and table.
+    """
+    merged = kept.filter("lag_sketch IS NOT NULL").groupBy("source_schema", "source_table").agg(
+        F.kll_merge_agg_bigint("lag_sketch").alias("merged")
+    )
+    quantiles = [F.kll_sketch_get_quantile_bigint("merged", F.lit(r)).alias(f"lag_p{round(100 * r)}_s") for r in ranks]
+    return merged.select("source_schema", "source_table", F.kll_sketch_get_n_bigint("merged").alias("rows_processed"), *quantiles)
+
+
 def promotable_batches(
     detail: DataFrame, gate: DataFrame, rule: str = "clean_and_newer", run_batch: int | None = None
 ) -> DataFrame:

@@ -15,6 +15,7 @@ from rivulet.operators import ghosts, merge, payload
 from rivulet.operators.dedupe import drop_duplicate_keys
 from rivulet.session import settle
 from rivulet.sources import landing
+from rivulet.sources.source_db import SourceReader, read_near
 
 
 @dataclass
@@ -94,16 +95,20 @@ def full_replacement(
 
 
 def interim_fill(
-    target: DataFrame, source: DataFrame, keys: list[str], wanted: list[str], *, tenant_id: int, batch_id: int
+    target: DataFrame, source: DataFrame | tuple[SourceReader, str], keys: list[str], wanted: list[str], *, tenant_id: int,
+    batch_id: int, ranges: int = 32,
 ) -> Change:
     """Fill columns the capture does not carry, for rows of a batch that still have a hole.
 
-    The holes are joined to the source by key, so no key list passes through the driver. The report
-    counts candidates and the rows really found at the source.
+    The holes are joined to the source by key, so no key list passes through the driver. Of a source given as
+    ``(reader, table)`` only key ranges around the holes are read. The report counts candidates and the rows
+    really found at the source.
     """
     merge_keys = ["tenant_id", *keys]
     holes = payload.hole_candidates(target, keys, wanted, batch_id=batch_id, tenant_id=tenant_id)
     holes = settle(canonical_keys(holes, keys), "holes")
+    if isinstance(source, tuple):
+        source = read_near(*source, holes, keys, [*keys, *wanted], ranges)
     found = (
         canonical_keys(source.select(*keys, *wanted), keys)
         .join(holes, keys, "left_semi")

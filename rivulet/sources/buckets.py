@@ -165,6 +165,12 @@ class BucketStore:
         every = {tenant_id: sorted({*there, *range(self.buckets(name, True))})}
         return self.swap(name, rows.filter(F.col(TENANT) == tenant_id), every, emptied={tenant_id: there})
 
+    def load(self, name: str, rows: DataFrame) -> None:
+        """The first rows of a table, of all tenants at once; keys must be unique."""
+        if self._stored(name) is not None:
+            raise ValueError(f"{name} has been loaded before")
+        self._laid(name, rows.select(*self._schemas[name].names)).write.partitionBy(TENANT, BUCKET).parquet(self.path(name))
+
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows to a table without keys; no file is rewritten."""
         if self._keys[name]:

@@ -18,7 +18,7 @@ from rivulet.model import align_schema
 RUN = "_run"
 LAG = model.shape(
     "source_schema string, source_table string, rows_processed bigint, newest_source_commit timestamp, "
-    "oldest_source_commit timestamp, median_lag_s bigint, max_lag_s bigint"
+    "oldest_source_commit timestamp, median_lag_s bigint, max_lag_s bigint, lag_sketch binary"
 )
 OUTPUTS: dict[str, T.StructType] = {
     "header": model.RUN_HEADER,

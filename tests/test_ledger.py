@@ -146,7 +146,7 @@ def prepared(spark, *batches):
 
 
 def outputs(kept):
-    times = {"start_ts", "end_ts", "duration_secs", "duration_mins"}
+    times = {"start_ts", "end_ts", "duration_secs", "duration_mins", "lag_sketch"}
     return {o: rows(kept.read(o), *[c for c in s.names if c not in times]) for o, s in OUTPUTS.items()}
 
 

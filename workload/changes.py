@@ -12,6 +12,8 @@ from rivulet.operators.payload import hole_candidates
 from rivulet.plans import bronze
 from rivulet.session import scratch, settle
 from rivulet.sources import sinks
+from rivulet.sources.buckets import BucketStore
+from rivulet.sources.source_db import ParquetSource
 from workload.catalog import query
 from workload.inputs import Inputs
 
@@ -116,25 +118,34 @@ _SLICE = """
     UNION ALL SELECT tenant_id, o_orderkey, status, price FROM f_source_ok WHERE tenant_id = 3"""
 
 
+ORDERS = model.shape("tenant_id int, o_orderkey bigint, status string, price double")
+
+
+def _orders_store(i: Inputs, keys: list[str]) -> BucketStore:
+    store = BucketStore(i.spark, scratch(i.spark, "bronze"), {"orders": ORDERS}, {"orders": keys}, 8)
+    store.load("orders", i.f_bronze)
+    return store
+
+
 @query("q_replace_tenant_slice", _SLICE)
 def _(i: Inputs) -> DataFrame:
-    """On files: the table is written by tenant, then one tenant's partition is swapped."""
-    path = scratch(i.spark, "bronze")
-    shape = ["tenant_id", "o_orderkey", "status", "price"]
-    sinks.append(i.f_bronze.select(*shape), path)
-    sinks.replace_slices(i.f_source_ok.filter("tenant_id = 3"), path, [3], sort_by=["o_orderkey"], reads_path=False)
-    return i.spark.read.parquet(path).select(*shape)
+    """On files: the table lies by tenant and key bucket, then one tenant's folders are swapped."""
+    store = _orders_store(i, ["o_orderkey"])
+    store.replace("orders", 3, i.f_source_ok)
+    return store.read("orders")
 
 
 @query("q_overwrite_no_pk", _SLICE)
 def _(i: Inputs) -> DataFrame:
-    shape = ["tenant_id", "o_orderkey", "status", "price"]
+    """A table without keys: the tenant's only folder is swapped."""
+    store = _orders_store(i, [])
     state, method = bronze.full_replacement(
-        i.f_bronze.select(*shape), i.f_source_ok.filter("tenant_id = 3").drop("tenant_id"), [],
+        store.read("orders"), i.f_source_ok.filter("tenant_id = 3").drop("tenant_id"), [],
         tenant_id=3, batch_id=1, run_id=RUN, as_of=as_of(),
     )
     assert method == "overwrite_tenant"
-    return state
+    store.replace("orders", 3, state)
+    return store.read("orders")
 
 
 @query(
@@ -208,9 +219,10 @@ def _(i: Inputs) -> DataFrame:
     {"d_holey": _HOLEY},
 )
 def _(i: Inputs) -> DataFrame:
-    source = i.f_source_ok.filter("tenant_id = 2").drop("tenant_id")
+    root = scratch(i.spark, "source")
+    i.f_source_ok.filter("tenant_id = 2").drop("tenant_id").write.parquet(f"{root}/orders.parquet")
     return bronze.interim_fill(
-        holey(i), source, ["o_orderkey"], ["price", "status"], tenant_id=2, batch_id=_FILL_BATCH
+        holey(i), (ParquetSource(i.spark, root), "orders"), ["o_orderkey"], ["price", "status"], tenant_id=2, batch_id=_FILL_BATCH
     ).state
 
 

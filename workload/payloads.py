@@ -10,7 +10,7 @@ from rivulet.functions.keys import canonical_keys
 from rivulet.functions.temporal import decode_temporals
 from rivulet.operators import merge, payload
 from rivulet.operators import registry as reg
-from rivulet.sources.source_db import ParquetSource, partition_bounds, split_ranges
+from rivulet.sources.source_db import ParquetSource, partition_bounds, quantile_ranges, split_ranges
 from rivulet.streaming.stage import StageRun, read_changes, read_stage, sequenced, start_staging
 from rivulet.session import scratch
 from workload.catalog import query
@@ -457,3 +457,20 @@ def _(i: Inputs) -> DataFrame:
 )
 def _(i: Inputs) -> DataFrame:
     return split_ranges(partition_bounds(i.table("lineitem"), "l_partkey"), 8)
+
+
+@query(
+    "q_partition_quantiles",
+    """SELECT CAST(8 AS BIGINT) AS ranges, count(*) AS rows, TRUE AS whole, TRUE AS even
+       FROM (SELECT DISTINCT l_orderkey * l_orderkey AS k FROM {lineitem})""",
+)
+def _(i: Inputs) -> DataFrame:
+    """Squared keys crowd at the lower end. Ranges cut by quantiles hold all rows once, none twice the median."""
+    keys = i.table("lineitem").select((F.col("l_orderkey") * F.col("l_orderkey")).alias("k")).distinct()
+    ranges = quantile_ranges(keys, "k", 8)
+    held = keys.join(F.broadcast(ranges), F.col("k").between(F.col("from_key"), F.col("to_key")))
+    each = held.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("k").alias("d"))
+    return each.agg(
+        F.count(F.lit(1)).alias("ranges"), F.sum("n").alias("rows"), (F.sum("n") == F.sum("d")).alias("whole"),
+        (F.max("n") <= 2 * F.median("n")).alias("even"),
+    )

@@ -67,6 +67,29 @@ def _(i: Inputs) -> DataFrame:
     return control.lag_profile(stage(i), as_of(), accuracy=None)
 
 
+@query(
+    "q_lag_over_cycles",
+    f"""SELECT source_schema, source_table, count(*) AS rows_processed, TRUE AS close FROM f_stage
+        WHERE source_commit_ts IS NOT NULL GROUP BY source_schema, source_table""",
+)
+def _(i: Inputs) -> DataFrame:
+    """A cycle a day, each leaving its sketches: the median over all of them against the lags themselves. A median is
+    close if its rank is within two percent (and one row, for tables of a few rows)."""
+    rows = stage(i)
+    names = ["source_schema", "source_table"]
+    # one pass gives the sketches that thirty cycles would leave
+    day = F.concat_ws("|", "source_table", F.col("ingest_ts").cast("date").cast("string"))
+    kept = control.lag_sketches(rows.withColumn("source_table", day), as_of())
+    kept = kept.withColumn("source_table", F.substring_index("source_table", "|", 1))
+    found = control.lag_over_cycles(kept)
+    lags = rows.filter("source_commit_ts IS NOT NULL").select(*names, control.lag_seconds(as_of()).alias("lag"))
+    ranked = lags.join(found, names).groupBy(*names, "rows_processed").agg(
+        F.count_if(F.col("lag") < F.col("lag_p50_s")).alias("below"), F.count_if(F.col("lag") <= F.col("lag_p50_s")).alias("upto"),
+    )
+    half, slack = F.col("rows_processed") / 2, F.col("rows_processed") * 0.02 + 1
+    return ranked.select(*names, "rows_processed", ((F.col("below") <= half + slack) & (F.col("upto") >= half - slack)).alias("close"))
+
+
 def _processed(i: Inputs) -> DataFrame:
     """Outcome per staged table: unregistered tables are skipped, the others end well."""
     return i.sql(_OUTCOME)
