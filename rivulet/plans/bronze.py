@@ -50,11 +50,10 @@ def landing_load(
     return merge.upsert(target, newest, merge_keys, carried=carried, scope=scope, unique=True)
 
 
-def full_reload(
-    target: DataFrame, source: DataFrame, keys: list[str], *, tenant_id: int, batch_id: int, run_id: str,
-    as_of: Column, overwrite_tenant: bool = False,
+def reload_rows(
+    source: DataFrame, columns: list[str], keys: list[str], *, tenant_id: int, batch_id: int, run_id: str, as_of: Column
 ) -> DataFrame:
-    """Reload a whole source table: upsert by key, or swap the tenant's slice for a first load."""
+    """A whole source table as rows to merge: stamped, cut to the target's columns, one per canonical key."""
     stamped = payload.stamp_meta(
         source, batch_id=batch_id, run_id=run_id, as_of=as_of, op="r", tenant_id=tenant_id
     )
@@ -63,20 +62,25 @@ def full_reload(
     if lost:
         raise ValueError(f"key columns missing: {lost}")
     # keys are canonical from here on, as on every road
-    once = drop_duplicate_keys(
-        canonical_keys(payload.shared_columns(stamped, target.columns), merge_keys), merge_keys
-    )
+    return drop_duplicate_keys(canonical_keys(payload.shared_columns(stamped, columns), merge_keys), merge_keys)
+
+
+def full_reload(
+    target: DataFrame, source: DataFrame, keys: list[str], *, tenant_id: int, batch_id: int, run_id: str,
+    as_of: Column, overwrite_tenant: bool = False,
+) -> DataFrame:
+    """Reload a whole source table: upsert by key, or swap the tenant's slice for a first load."""
+    once = reload_rows(source, target.columns, keys, tenant_id=tenant_id, batch_id=batch_id, run_id=run_id, as_of=as_of)
     mine = F.col("tenant_id") == tenant_id
     if overwrite_tenant:
         return merge.replace_slice(target, align_schema(once, target.schema), mine)
-    return merge.upsert(target, once, merge_keys, scope=mine, unique=True)
+    return merge.upsert(target, once, ["tenant_id", *keys], scope=mine, unique=True)
 
 
-def full_replacement(
-    target: DataFrame, source: DataFrame, keys: list[str], *, tenant_id: int, batch_id: int, run_id: str,
-    as_of: Column,
-) -> tuple[DataFrame, str]:
-    """For tables with nothing to track: sync by key, or swap the slice when there is no usable key."""
+def replacement_rows(
+    source: DataFrame, columns: list[str], keys: list[str], *, tenant_id: int, batch_id: int, as_of: Column
+) -> tuple[DataFrame, bool]:
+    """The rows that are to be a tenant's whole slice, and whether they have a usable key."""
     stamped = source.withColumns(
         {
             "tenant_id": F.lit(tenant_id).cast("int"),
@@ -85,26 +89,34 @@ def full_replacement(
             "ingestion_time": as_of,
         }
     )
-    shaped = payload.shared_columns(stamped, target.columns)
-    if keys and not payload.missing_keys(keys, shaped.columns):
-        merge_keys = ["tenant_id", *keys]
-        once = drop_duplicate_keys(canonical_keys(shaped, merge_keys), merge_keys)
-        return merge.full_sync(target, once, merge_keys, tenant_id, unique=True), "merge_sync"
+    shaped = payload.shared_columns(stamped, columns)
+    if not keys or payload.missing_keys(keys, shaped.columns):
+        return shaped, False
+    merge_keys = ["tenant_id", *keys]
+    return drop_duplicate_keys(canonical_keys(shaped, merge_keys), merge_keys), True
+
+
+def full_replacement(
+    target: DataFrame, source: DataFrame, keys: list[str], *, tenant_id: int, batch_id: int, run_id: str,
+    as_of: Column,
+) -> tuple[DataFrame, str]:
+    """For tables with nothing to track: sync by key, or swap the slice when there is no usable key."""
+    rows, keyed = replacement_rows(source, target.columns, keys, tenant_id=tenant_id, batch_id=batch_id, as_of=as_of)
+    if keyed:
+        return merge.full_sync(target, rows, ["tenant_id", *keys], tenant_id, unique=True), "merge_sync"
     mine = F.col("tenant_id") == tenant_id
-    return merge.replace_slice(target, align_schema(shaped, target.schema), mine), "overwrite_tenant"
+    return merge.replace_slice(target, align_schema(rows, target.schema), mine), "overwrite_tenant"
 
 
-def interim_fill(
+def fill_rows(
     target: DataFrame, source: DataFrame | tuple[SourceReader, str], keys: list[str], wanted: list[str], *, tenant_id: int,
     batch_id: int, ranges: int = 32,
-) -> Change:
-    """Fill columns the capture does not carry, for rows of a batch that still have a hole.
+) -> tuple[DataFrame, DataFrame]:
+    """``(keys with a hole, source rows for them)`` of one batch, both settled.
 
     The holes are joined to the source by key, so no key list passes through the driver. Of a source given as
-    ``(reader, table)`` only key ranges around the holes are read. The report counts candidates and the rows
-    really found at the source.
+    ``(reader, table)`` only key ranges around the holes are read.
     """
-    merge_keys = ["tenant_id", *keys]
     holes = payload.hole_candidates(target, keys, wanted, batch_id=batch_id, tenant_id=tenant_id)
     holes = settle(canonical_keys(holes, keys), "holes")
     if isinstance(source, tuple):
@@ -114,7 +126,19 @@ def interim_fill(
         .join(holes, keys, "left_semi")
         .withColumn("tenant_id", F.lit(tenant_id).cast("int"))
     )
-    found = settle(drop_duplicate_keys(found, merge_keys), "found")
+    return holes, settle(drop_duplicate_keys(found, ["tenant_id", *keys]), "found")
+
+
+def interim_fill(
+    target: DataFrame, source: DataFrame | tuple[SourceReader, str], keys: list[str], wanted: list[str], *, tenant_id: int,
+    batch_id: int, ranges: int = 32,
+) -> Change:
+    """Fill columns the capture does not carry, for rows of a batch that still have a hole.
+
+    See :func:`fill_rows`. The report counts candidates and the rows really found at the source.
+    """
+    merge_keys = ["tenant_id", *keys]
+    holes, found = fill_rows(target, source, keys, wanted, tenant_id=tenant_id, batch_id=batch_id, ranges=ranges)
     mine = F.col("tenant_id") == tenant_id
     state = merge.fill(target, found, merge_keys, wanted, scope=mine, settled=True, unique=True)
     counts = holes.agg(F.count(F.lit(1)).alias("candidate_rows")).join(
@@ -123,18 +147,25 @@ def interim_fill(
     return Change(state, counts.withColumn("cols_filled", F.lit(",".join(wanted))))
 
 
-def ghost_sweep(
+@dataclass
+class Sweep:
+    """What a sweep found: the keys to delete, their log, and one report row."""
+
+    doomed: DataFrame
+    log: DataFrame
+    report: DataFrame
+
+
+def find_ghosts(
     target: DataFrame, source_keys: DataFrame, keys: list[str], *, tenant_id: int, batch_id: int,
     schema_name: str, source_table: str, bronze_table: str, as_of: Column, max_pct: float = 10.0,
     dry_run: bool = False, buckets: int | None = None,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(new state, doomed key log, report)`` for one tenant of one table.
-
-    With ``buckets`` keys are compared only where checksums of that many key buckets differ; it pays for tables that
-    are much larger than what differs.
+) -> Sweep:
+    """Ghost keys of one tenant of one table, found once and settled, as counts, log and delete all need them.
 
-    Ghost keys are found once and settled, as counts, log and delete all need them. The decision joins
-    back as a one-row frame: when the fuse blows or the run is dry, no ghost passes and the state stays.
+    The decision joins back as a one-row frame: when the fuse blows or the run is dry, no ghost is doomed. With
+    ``buckets`` keys are compared only where checksums of that many key buckets differ; it pays for tables that are much
+    larger than what differs.
     """
     mine = target.filter(F.col("tenant_id") == tenant_id)
     narrow = mine.select("tenant_id", *keys, "batch_id")
@@ -150,7 +181,6 @@ def ghost_sweep(
     doomed = found.join(
         F.broadcast(decided.filter("status = 'DELETED'").select("tenant_id")), "tenant_id", "left_semi"
     )
-    state = merge.delete_matched(target, doomed, ["tenant_id", *keys], F.col("tenant_id") == tenant_id)
     log = ghosts.doomed_keys(
         doomed, keys, schema_name=schema_name, source_table=source_table, batch_id=batch_id, deleted_ts=as_of
     )
@@ -158,4 +188,13 @@ def ghost_sweep(
         decided, schema_name=schema_name, source_table=source_table, bronze_table=bronze_table,
         batch_id=batch_id, dry_run=dry_run, max_pct=max_pct, run_ts=as_of,
     )
-    return state, log, rows
+    return Sweep(doomed, log, rows)
+
+
+def ghost_sweep(
+    target: DataFrame, source_keys: DataFrame, keys: list[str], *, tenant_id: int, **options
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(new state, doomed key log, report)`` for one tenant of one table; see :func:`find_ghosts`."""
+    found = find_ghosts(target, source_keys, keys, tenant_id=tenant_id, **options)
+    state = merge.delete_matched(target, found.doomed, ["tenant_id", *keys], F.col("tenant_id") == tenant_id)
+    return state, found.log, found.report

@@ -169,7 +169,7 @@ class BucketStore:
         """The first rows of a table, of all tenants at once; keys must be unique."""
         if self._stored(name) is not None:
             raise ValueError(f"{name} has been loaded before")
-        self._laid(name, rows.select(*self._schemas[name].names)).write.partitionBy(TENANT, BUCKET).parquet(self.path(name))
+        self._laid(name, align_schema(rows, self._schemas[name])).write.partitionBy(TENANT, BUCKET).parquet(self.path(name))
 
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows to a table without keys; no file is rewritten."""
@@ -189,7 +189,7 @@ class BucketStore:
         written; the rest of ``emptied`` (all of ``places`` unless told) get an empty file.
         """
         seen = Observation()
-        laid = self._laid(name, state.select(*self._schemas[name].names))
+        laid = self._laid(name, align_schema(state, self._schemas[name]))
         allowed = F.lit(False)
         for tenant, buckets in sorted(places.items()):
             allowed = allowed | ((F.col(TENANT) == tenant) & F.col(BUCKET).isin(buckets))

@@ -39,7 +39,11 @@ class ControlStore:
     """Control tables below ``root``."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._spark, self._root = spark, root.rstrip("/")
+        self.spark, self._root = spark, root.rstrip("/")
+
+    @staticmethod
+    def schema(output: str) -> T.StructType:
+        return OUTPUTS[output]
 
     def path(self, output: str) -> str:
         return f"{self._root}/{output}"
@@ -53,11 +57,11 @@ class ControlStore:
         """The rows of all runs, but for those of ``besides``."""
         schema = OUTPUTS[output]
         try:
-            rows = self._spark.read.schema(T.StructType([*schema.fields, T.StructField(RUN, T.StringType())])).parquet(self.path(output))
+            rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField(RUN, T.StringType())])).parquet(self.path(output))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return model.empty(self._spark, schema)
+            return model.empty(self.spark, schema)
         rows = rows if besides is None else rows.filter(F.col(RUN) != besides)
         return rows.select(*schema.names)
 

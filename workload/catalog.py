@@ -43,4 +43,6 @@ def naive(df: DataFrame) -> DataFrame:
 
 
 def load() -> None:
-    from workload import changes, control_plane, cycles, dimension, landing_tree, payloads, reconcile, staging  # noqa: F401
+    from workload import (  # noqa: F401
+        changes, control_plane, cycles, dimension, landing_tree, payloads, reconcile, roads, staging,
+    )
