@@ -6,11 +6,15 @@ the shuffle, so each map task sends at most one row per key and no task meets th
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.functions.keys import canonical_keys, fold
+from rivulet.session import settle
 
 _RANK = "_rivulet_rank"
 
@@ -74,3 +78,30 @@ def require_unique(
     if clash:
         raise DuplicateKeys([r.asDict() for r in clash])
     return df
+
+
+_TWICE = "more than one source row for a merge key"
+
+
+def settle_unique(
+    df: DataFrame, keys: list[str], label: str = "settled", null_safe: bool = True, fold_case: bool = True
+) -> DataFrame:
+    """Settle ``df`` and fail when two rows share a merge key, in the one job that writes it.
+
+    Rows are numbered per key as they are written; the first second row ends the job. Only then are the keys
+    counted, to name some of them.
+    """
+    by = [fold(df, k) if fold_case else F.col(f"`{k}`") for k in keys]
+    # a running number: no task holds a group
+    number = F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(1)))
+    clash = number > 1
+    if not null_safe:
+        clash = clash & reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    checked = df.withColumn(_RANK, F.when(clash, F.raise_error(F.lit(_TWICE)).cast("int")).otherwise(1))
+    try:
+        return settle(checked, label).drop(_RANK)
+    except PySparkException as e:
+        if _TWICE not in str(e):
+            raise
+    require_unique(df, keys, null_safe, fold_case)
+    raise DuplicateKeys([])

@@ -11,7 +11,7 @@ joins with the target on the left, which adaptive execution can split when a key
 join could be neither broadcast nor split).
 
 The source is read by three branches, so it is settled first, and a source with two rows for one key is
-refused. Callers that have done either say so.
+refused in the same job. Callers that have done either say so.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.keys import fold, same_key
 from rivulet.model import CREATE_ONCE_COLUMNS
-from rivulet.operators.dedupe import drop_duplicate_keys, require_unique
+from rivulet.operators.dedupe import drop_duplicate_keys, require_unique, settle_unique
 from rivulet.session import settle
 
 _HIT = "_s_hit"
@@ -62,9 +62,11 @@ def merge_state(
     target's value where the source has none. ``settled`` says that the source is a written table,
     ``unique`` that it has one row per key.
     """
-    if not settled:
+    if not settled and unique:
         source = settle(source, "merge-source")
-    if not unique:
+    elif not settled:
+        source = settle_unique(source, keys, "merge-source", null_safe=null_safe, fold_case=fold_case)
+    elif not unique:
         require_unique(source, keys, null_safe=null_safe, fold_case=fold_case)
     keep_when_null = set(keep_when_null)
     shared = [c for c in target.columns if c in set(source.columns)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rivulet import model
 from rivulet.operators import merge
-from rivulet.operators.dedupe import drop_duplicate_keys, duplicate_keys, latest_op_wins
+from rivulet.operators.dedupe import DuplicateKeys, drop_duplicate_keys, duplicate_keys, latest_op_wins
 from rivulet.operators.payload import hole_candidates
 from rivulet.plans import bronze
 from rivulet.session import scratch, settle
@@ -60,7 +60,7 @@ _APPLIED = """
 def _(i: Inputs) -> DataFrame:
     changes = settle(survivors(i), "changes")
     return merge.cdc_apply(
-        i.f_target, changes, KEYS, op="op", write_columns=[*KEYS, "status", "price", "modified"]
+        i.f_target, changes, KEYS, op="op", write_columns=[*KEYS, "status", "price", "modified"], settled=True, unique=True
     )
 
 
@@ -71,7 +71,9 @@ def _(i: Inputs) -> DataFrame:
 def _(i: Inputs) -> DataFrame:
     """The capture does not carry the price: stored prices stay, new rows have none."""
     changes = settle(survivors(i), "changes")
-    return merge.cdc_apply(i.f_target, changes, KEYS, op="op", write_columns=[*KEYS, "status", "modified"])
+    return merge.cdc_apply(
+        i.f_target, changes, KEYS, op="op", write_columns=[*KEYS, "status", "modified"], settled=True, unique=True
+    )
 
 
 @query(
@@ -229,11 +231,20 @@ def _(i: Inputs) -> DataFrame:
 @query(
     "q_merge_cardinality",
     """SELECT tenant_id, o_orderkey, count(*) AS cnt FROM f_change_log
+       WHERE EXISTS (SELECT 1 FROM f_change_log GROUP BY tenant_id, o_orderkey HAVING count(*) > 1)
        GROUP BY tenant_id, o_orderkey HAVING count(*) > 1""",
 )
 def _(i: Inputs) -> DataFrame:
-    """Keys that a merge without prior dedupe would meet more than once."""
-    return duplicate_keys(i.f_change_log, KEYS)
+    """A merge of the raw log is refused; these are the keys that it meets more than once."""
+    log = i.f_change_log
+    try:
+        merge.upsert(i.f_target, log, KEYS)
+    except DuplicateKeys as refused:
+        clashes = duplicate_keys(log, KEYS)
+        named = i.spark.createDataFrame([(k["tenant_id"], k["o_orderkey"]) for k in refused.keys], "tenant_id int, o_orderkey bigint")
+        assert named.join(clashes, KEYS, "left_anti").isEmpty()
+        return clashes
+    return duplicate_keys(log, KEYS).filter("false")
 
 
 @query(
