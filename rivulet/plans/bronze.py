@@ -26,6 +26,15 @@ class Change:
     report: DataFrame
 
 
+def landing_rows(
+    rows: DataFrame, columns: list[str], keys: list[str], *, run_id: str, as_of: Column,
+    gaps: Mapping[str, Iterable[landing.Batch]] | None = None,
+) -> DataFrame:
+    """Landing batches as rows to merge: stamped, cut to the target's columns, the newest batch of each key."""
+    stamped = payload.stamp_meta(rows, batch_id=F.col("batch_id"), run_id=run_id, as_of=as_of, op="I")
+    return landing.newest_per_key(payload.shared_columns(stamped, columns), ["tenant_id", *keys], gaps)
+
+
 def landing_load(
     target: DataFrame, rows: DataFrame, keys: list[str] | None, *, run_id: str, as_of: Column,
     replay: tuple[int, int] | None = None, tenant_id: int | None = None,
@@ -37,12 +46,12 @@ def landing_load(
     tables append. A replay first removes what the replayed batches had left behind. ``gaps`` names
     columns that came or went between batches.
     """
-    stamped = payload.stamp_meta(rows, batch_id=F.col("batch_id"), run_id=run_id, as_of=as_of, op="I")
     if not keys:
+        stamped = payload.stamp_meta(rows, batch_id=F.col("batch_id"), run_id=run_id, as_of=as_of, op="I")
         every = align_schema(stamped, target.schema)
         return merge.replay_batch(target, every, None, tenant_id, *replay) if replay else target.unionByName(every)
     merge_keys = ["tenant_id", *keys]
-    newest = landing.newest_per_key(payload.shared_columns(stamped, target.columns), merge_keys, gaps)
+    newest = landing_rows(rows, target.columns, keys, run_id=run_id, as_of=as_of, gaps=gaps)
     carried = landing.CARRIED if gaps else None
     if replay:
         return merge.replay_batch(target, newest, merge_keys, tenant_id, *replay, carried=carried, unique=True)

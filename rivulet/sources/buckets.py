@@ -5,32 +5,39 @@ key has one bucket whatever its spelling, and a change needs the buckets of its
 partition pruning, changed, and swapped by one dynamic overwrite. Old files stay until that job commits, so the
 new state may read the folder that it replaces, and is written once.
 
-How many buckets a table has is settled at its first write and kept beside the tables. Parquet folders have no
+How many buckets a table has, and its columns, are settled at its first write and kept beside the tables. Types may grow
+(:mod:`rivulet.functions.widening`). Parquet folders have no
 transactions: a swap is atomic per folder at best.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.functions.widening import joined, widened
 from rivulet.model import align_schema, empty
 from rivulet.operators.merge import delete_matched
 from rivulet.session import settle
 from rivulet.sources.sinks import balanced
 
 TENANT, BUCKET = "tenant_id", "_bucket"
-LAYOUT = "buckets int, keys array<string>"
+LAYOUT = "version int, buckets int, keys array<string>, columns string"
 
 Places = dict[int, list[int]]  # tenant -> buckets
 
 
+class StoreFailed(RuntimeError):
+    """A new table state was computed but could not be written."""
+
+
 @dataclass(frozen=True)
 class Swap:
     """Which folders a change has rewritten and what they hold now."""
@@ -71,13 +78,19 @@ class BucketStore:
         self._spark, self._root, self._buckets = spark, root.rstrip("/"), buckets
         self._schemas = dict(schemas)
         self._keys = {n: list(keys.get(n, ())) for n in schemas}
-        self._settled: dict[str, int] = {}
+        self._settled: dict[str, Row] = {}
 
     def path(self, name: str) -> str:
-        return f"{self._root}/{name}"
+        """The folder of the table's present version."""
+        held = self._layout(name)
+        return f"{self._root}/{name}" if held is None or not held["version"] else f"{self._root}/{name}.v{held['version']}"
 
     def schema(self, name: str) -> T.StructType | None:
-        return self._schemas.get(name)
+        """The declared columns, as far as the table has been widened."""
+        if name not in self._schemas:
+            return None
+        held = self._layout(name)
+        return self._schemas[name] if held is None else T.StructType.fromJson(json.loads(held["columns"]))
 
     def keys(self, name: str) -> list[str]:
         return self._keys[name]
@@ -90,33 +103,68 @@ class BucketStore:
                 raise
             return None
 
-    def buckets(self, name: str, settle_now: bool = False) -> int:
-        """The table's number of buckets: the one it was first written with, else the one asked for."""
+    def _layout(self, name: str) -> Row | None:
+        """What was settled when the table was first written or last widened."""
         if name not in self._settled:
-            path = f"{self._root}.layouts/{name}"
-            held = self._load(path, LAYOUT)
-            wanted = self._buckets if self._keys[name] else 1
+            held = self._load(f"{self._root}.layouts/{name}", LAYOUT)
             if held is None:
-                if not settle_now:
-                    return wanted
-                self._spark.createDataFrame([(wanted, self._keys[name])], LAYOUT).coalesce(1).write.parquet(path)
-                self._settled[name] = wanted
-            else:
-                row = held.first()
-                if row["keys"] != self._keys[name]:
-                    raise ValueError(f"{name} is bucketed by {row['keys']}, not by {self._keys[name]}")
-                self._settled[name] = row["buckets"]
+                return None
+            row = held.orderBy(F.col("version").desc(), F.length("columns").desc()).first()
+            if row["keys"] != self._keys[name]:
+                raise ValueError(f"{name} is bucketed by {row['keys']}, not by {self._keys[name]}")
+            self._settled[name] = row
         return self._settled[name]
 
+    def _settle_layout(self, name: str, version: int, schema: T.StructType) -> None:
+        row = (version, self.buckets(name), self._keys[name], json.dumps(json.loads(schema.json())))
+        self._spark.createDataFrame([row], LAYOUT).coalesce(1).write.mode("append").parquet(f"{self._root}.layouts/{name}")
+        self._settled.pop(name, None)
+
+    def buckets(self, name: str, settle_now: bool = False) -> int:
+        """The table's number of buckets: the one it was first written with, else the one asked for."""
+        held = self._layout(name)
+        if held is not None:
+            return held["buckets"]
+        if settle_now:
+            self._settle_layout(name, 0, self._schemas[name])
+        return self._buckets if self._keys[name] else 1
+
+    def widen(self, name: str, schema: T.StructType) -> bool:
+        """Make room for columns and types of ``schema`` beside the table's own; whether anything changed.
+
+        A new column is only noted: old files give NULL for it. A type that grows rewrites the table once, into a new folder;
+        the layout then names that folder, so readers see the old table or the new one. The old folder stays until it is
+        expired.
+        """
+        held = self.schema(name)
+        grown = joined([held, T.StructType([f for f in schema.fields if f.name != BUCKET])])
+        if grown == joined([held]):
+            return False
+        layout = self._layout(name)
+        version = 0 if layout is None else layout["version"]
+        same = all(grown[f.name].dataType == f.dataType for f in held.fields)
+        if any(grown[k].dataType != held[k].dataType for k in [TENANT, *self._keys[name]]):
+            raise TypeError(f"keys of {name} cannot change their type: {grown.simpleString()}")
+        stored = self._stored(name)
+        if not same:
+            version += 1
+            if stored is not None:
+                rows = widened(stored.select(*held.names), grown)
+                self.buckets(name, True)
+                laid = balanced(rows.withColumn(BUCKET, bucket_of(self._keys[name], grown, self.buckets(name))), TENANT, BUCKET)
+                laid.sortWithinPartitions(TENANT, BUCKET, *self._keys[name]).write.partitionBy(TENANT, BUCKET).parquet(f"{self._root}/{name}.v{version}")
+        self._settle_layout(name, version, grown)
+        return True
+
     def _stored(self, name: str) -> DataFrame | None:
-        schema = self._schemas[name]
+        schema = self.schema(name)
         rest = [f for f in schema.fields if f.name != TENANT]
         parts = [T.StructField(TENANT, schema[TENANT].dataType), T.StructField(BUCKET, T.IntegerType())]
         return self._load(self.path(name), T.StructType(rest + parts))
 
     def read(self, name: str) -> DataFrame | None:
         """The whole table, empty before its first load; None when it is not declared."""
-        schema = self._schemas.get(name)
+        schema = self.schema(name)
         if schema is None:
             return None
         stored = self._stored(name)
@@ -124,7 +172,7 @@ class BucketStore:
 
     def slice(self, name: str, places: Places) -> DataFrame:
         """The rows of some folders; the others are neither listed for tasks nor opened."""
-        schema, stored = self._schemas[name], self._stored(name)
+        schema, stored = self.schema(name), self._stored(name)
         if stored is None or not places:
             return empty(self._spark, schema)
         inside = F.lit(False)
@@ -133,7 +181,7 @@ class BucketStore:
         return stored.filter(inside).select(*schema.names)
 
     def _placed(self, name: str, rows: DataFrame) -> DataFrame:
-        return rows.withColumn(BUCKET, bucket_of(self._keys[name], self._schemas[name], self.buckets(name, True)))
+        return rows.withColumn(BUCKET, bucket_of(self._keys[name], self.schema(name), self.buckets(name, True)))
 
     def places(self, name: str, rows: DataFrame) -> Places:
         """The folders that the keys of ``rows`` belong to: at most tenants times buckets."""
@@ -169,13 +217,13 @@ class BucketStore:
         """The first rows of a table, of all tenants at once; keys must be unique."""
         if self._stored(name) is not None:
             raise ValueError(f"{name} has been loaded before")
-        self._laid(name, align_schema(rows, self._schemas[name])).write.partitionBy(TENANT, BUCKET).parquet(self.path(name))
+        self._laid(name, align_schema(rows, self.schema(name))).write.partitionBy(TENANT, BUCKET).parquet(self.path(name))
 
     def append(self, name: str, rows: DataFrame) -> None:
         """Add rows to a table without keys; no file is rewritten."""
         if self._keys[name]:
             raise ValueError(f"{name} has keys: rows must be merged")
-        laid = self._laid(name, align_schema(rows, self._schemas[name]))
+        laid = self._laid(name, align_schema(rows, self.schema(name)))
         laid.write.mode("append").partitionBy(TENANT, BUCKET).parquet(self.path(name))
 
     def _laid(self, name: str, rows: DataFrame) -> DataFrame:
@@ -189,7 +237,7 @@ class BucketStore:
         written; the rest of ``emptied`` (all of ``places`` unless told) get an empty file.
         """
         seen = Observation()
-        laid = self._laid(name, align_schema(state, self._schemas[name]))
+        laid = self._laid(name, align_schema(state, self.schema(name)))
         allowed = F.lit(False)
         for tenant, buckets in sorted(places.items()):
             allowed = allowed | ((F.col(TENANT) == tenant) & F.col(BUCKET).isin(buckets))
@@ -199,7 +247,7 @@ class BucketStore:
         laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(TENANT, BUCKET).parquet(self.path(name))
         kept = {(r[TENANT], r[BUCKET]) for r in seen.get["kept"]}
         void = [(t, b) for t, buckets in (places if emptied is None else emptied).items() for b in buckets if (t, b) not in kept]
-        none = empty(self._spark, T.StructType([f for f in self._schemas[name].fields if f.name != TENANT]))
+        none = empty(self._spark, T.StructType([f for f in self.schema(name).fields if f.name != TENANT]))
 
         def clear(place: tuple[int, int]) -> None:
             none.coalesce(1).write.mode("overwrite").parquet(f"{self.path(name)}/{TENANT}={place[0]}/{BUCKET}={place[1]}")

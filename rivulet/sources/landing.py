@@ -9,11 +9,13 @@ from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.functions.keys import canonical_keys
+from rivulet.functions.widening import joined, widened
 from rivulet.operators.dedupe import drop_duplicate_keys
 
 Batch = tuple[int, str, int]  # tenant, schema, batch id
@@ -108,25 +110,70 @@ def replay_range(batches: DataFrame, first: int | None = None, last: int | None
     return batches.filter(inside)
 
 
-def batch_gaps(spark: SparkSession, base: str, table_name: str, batches: DataFrame) -> dict[str, list[Batch]]:
-    """Columns that some batches of a table lack, with those batches as (tenant, schema, batch).
+def folder_of(base: str, row: Mapping[str, object]) -> str:
+    return "/".join([base.rstrip("/"), *[f"{p}={row[p]}" for p in PARTS]])
+
 
-    ``batches`` comes from :func:`landing_batches`. Only the footers of a table's pending folders are read,
-    a few folders at a time; the driver holds names of columns, not rows.
+def batch_schemas(spark: SparkSession, base: str, batches: Iterable[Row]) -> dict[Row, T.StructType]:
+    """The columns of each landing folder, from footers, a few folders at a time.
+
+    ``batches`` are rows of :data:`PARTS`. The driver holds names and types of columns, not rows. Files of one folder
+    must agree in their types; folders need not.
     """
-    listed = batches.filter(F.col("table_name") == table_name).select(*PARTS).distinct().collect()
 
-    def columns(r) -> set[str]:
-        folder = "/".join(f"{p}={r[p]}" for p in PARTS)
-        return set(spark.read.parquet(f"{base}/{folder}").columns)
+    def of(row: Row) -> T.StructType:
+        folder = folder_of(base, row.asDict())
+        try:
+            return spark.read.option("mergeSchema", "true").parquet(folder).schema
+        except PySparkException as e:
+            if "CANNOT_MERGE_SCHEMAS" not in str(e):
+                raise
+            raise MixedFolder(f"files of {folder} have columns of different types") from e
 
+    rows = list(batches)
     with ThreadPoolExecutor(max_workers=8) as pool:
-        brought = {(r["tenant_id"], r["schema_name"], r["batch_id"]): c for r, c in zip(listed, pool.map(columns, listed))}
-    every = set().union(*brought.values()) if brought else set()
-    gaps = {c: sorted(b for b, have in brought.items() if c not in have) for c in sorted(every)}
+        return dict(zip(rows, pool.map(of, rows)))
+
+
+class MixedFolder(ValueError):
+    """One batch folder holds files whose columns have no common type in place."""
+
+
+def read_batches(spark: SparkSession, base: str, schemas: Mapping[Row, T.StructType]) -> DataFrame:
+    """The rows of some landing folders, whose columns may differ in number and type.
+
+    Folders with equal columns are read together and cast to the types that hold all of them, so there is one scan for
+    each set of columns, not for each folder. Columns that a folder lacks are NULL.
+    """
+    whole, groups = joined(schemas.values()), {}
+    for row, schema in schemas.items():
+        groups.setdefault(schema.json(), []).append(row)
+    parts = T.StructType([T.StructField("tenant_id", T.IntegerType()), T.StructField("schema_name", T.StringType()),
+                          T.StructField("table_name", T.StringType()), T.StructField("batch_id", T.LongType())])
+    read = []
+    for rows in groups.values():
+        fields = [f for f in schemas[rows[0]].fields if f.name not in PARTS]
+        df = spark.read.schema(T.StructType([*fields, *parts.fields])).option("basePath", base)
+        read.append(widened(df.parquet(*[folder_of(base, r.asDict()) for r in rows]), whole))
+    if not read:
+        return spark.createDataFrame([], parts)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), read)
+
+
+def schema_gaps(schemas: Mapping[Row, T.StructType]) -> dict[str, list[Batch]]:
+    """Columns that some batches of a table lack, with those batches as (tenant, schema, batch)."""
+    brought = {(r["tenant_id"], r["schema_name"], r["batch_id"]): {c.lower() for c in s.names} for r, s in schemas.items()}
+    names = [c for c in joined(schemas.values()).names if c not in PARTS]
+    gaps = {c: sorted(b for b, have in brought.items() if c.lower() not in have) for c in sorted(names)}
     return {c: missing for c, missing in gaps.items() if missing}
 
 
+def batch_gaps(spark: SparkSession, base: str, table_name: str, batches: DataFrame) -> dict[str, list[Batch]]:
+    """:func:`schema_gaps` of one table's folders; ``batches`` comes from :func:`landing_batches`."""
+    listed = batches.filter(F.col("table_name") == table_name).select(*PARTS).distinct().collect()
+    return schema_gaps(batch_schemas(spark, base, listed))
+
+
 CARRIED = "_carried"
 
 
