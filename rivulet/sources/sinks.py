@@ -95,7 +95,7 @@ class BronzeStore:
 
 def overwrite_report(report: DataFrame, path: str) -> None:
     """Replace a small report, whatever columns it had before."""
-    report.write.mode("overwrite").option("overwriteSchema", "true").parquet(path)
+    report.write.mode("overwrite").parquet(path)
 
 
 def dead_letters(

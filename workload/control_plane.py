@@ -270,3 +270,14 @@ def _(i: Inputs) -> DataFrame:
 def _(i: Inputs) -> DataFrame:
     rows = stage(i).select(F.col("op").alias("_op"), F.col("ingest_ts").cast("date").alias("_ingest_date"))
     return checks.ops_outcome(rows)
+
+
+@query(
+    "q_resolve_batch",
+    """SELECT 'newest' AS how, max(batch_id) AS batch_id FROM f_detail WHERE tenant_id = 2
+       UNION ALL SELECT 'given', CAST(19960301000000 AS BIGINT)""",
+)
+def _(i: Inputs) -> DataFrame:
+    """The batch that a road works on: the one it was given, else the tenant's newest."""
+    rows = [control.resolve_batch(g, detail(i), 2).select(F.lit(how).alias("how"), "batch_id") for how, g in (("newest", None), ("given", 19960301000000))]
+    return rows[0].unionByName(rows[1])

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.operators import checks
 from rivulet.session import scratch
 from rivulet.sources.buckets import BucketStore
 from rivulet.sources.control_store import ControlStore
@@ -207,3 +208,13 @@ def _(i: Inputs) -> DataFrame:
 def _(i: Inputs) -> DataFrame:
     """The run with a failed table opens nothing, the clean one its batch."""
     return drained(i).kept.gate()
+
+
+@query(
+    "q_unregistered_kept",
+    """SELECT 'unregistered_kept' AS "check", CAST(0 AS BIGINT) AS measured, 'PASS' AS status""",
+)
+def _(i: Inputs) -> DataFrame:
+    """The runs took no row of a table that nobody registered."""
+    done = drained(i)
+    return checks.unregistered_kept(done.stage.rows(), done.stage.unacknowledged(), i.f_registry, 1)

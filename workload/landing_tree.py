@@ -10,7 +10,10 @@ from rivulet.plans.bronze import landing_load
 from rivulet.plans.landing_run import run_landing
 from rivulet.session import scratch
 from rivulet.sources import landing
+from rivulet.sources.buckets import BucketStore
+from rivulet.sources.control_store import ControlStore
 from rivulet.sources.sinks import balanced
+from rivulet.streaming.landing_watch import LandingWatch, batch_states
 from workload.catalog import query
 from workload.changes import RUN, as_of
 from workload.inputs import Inputs
@@ -167,3 +170,70 @@ def _(i: Inputs) -> DataFrame:
         F.lit("gate"), none.cast("int"), none.cast("string"), "batch_id", none.cast("bigint"), none.cast("string")
     )
     return result.union(mark).union(opened)
+
+
+LINES = model.shape(
+    "tenant_id int, l_orderkey bigint, l_linenumber int, price double, quantity int, shipped timestamp_ntz, batch_id bigint, _op string"
+)
+
+
+@query(
+    "q_landing_widen",
+    """SELECT tenant_id, l_orderkey, l_linenumber, price, CAST(quantity AS DECIMAL(21,2)) AS quantity, shipped, batch_id, 'I' AS _op FROM (
+           SELECT *, row_number() OVER (PARTITION BY tenant_id, l_orderkey, l_linenumber
+                                        ORDER BY batch_id DESC, price, quantity, shipped) AS rn
+           FROM f_landing WHERE table_name = 'open_lines') x WHERE rn = 1""",
+)
+def _(i: Inputs) -> DataFrame:
+    """Batches bring the quantity as int, later as long, later as decimal: the table's column grows with them."""
+    base = scratch(i.spark, "landing-types")
+    lines = i.f_landing.filter("table_name = 'open_lines'")
+    for kind, years in (("int", "< 1996"), ("bigint", "= 1996"), ("decimal(12,2)", "> 1996")):
+        part = lines.filter(f"batch_id div 10000000000 {years}").withColumn("quantity", F.col("quantity").cast(kind))
+        balanced(part, *landing.PARTS).write.mode("append").partitionBy(*landing.PARTS).parquet(base)
+    tables = BucketStore(i.spark, f"{base}-bronze", {"lines": LINES}, {"lines": ["l_orderkey", "l_linenumber"]}, 8)
+    registry = i.spark.createDataFrame([("shop", "open_lines", "lines", "l_orderkey,l_linenumber", True)], model.REGISTRY)
+    kept = ControlStore(i.spark, f"{base}-control")
+    run_landing(base, registry, tables, run_id=RUN, as_of=as_of(), kept=kept)
+    return tables.read("lines")
+
+
+_WATCHED = """
+    SELECT DISTINCT tenant_id, schema_name, table_name, batch_id,
+           CASE WHEN tenant_id = 1 AND batch_id < 19950101000000 THEN 1 WHEN batch_id > 19970101000000 THEN 1 ELSE 0 END AS look
+    FROM f_landing WHERE table_name = 'open_lines'"""
+
+
+@query(
+    "q_landing_watch",
+    """SELECT w.tenant_id, w.schema_name, w.table_name, w.batch_id, CAST(w.look AS BIGINT) AS look,
+              CASE WHEN w.look = 0 THEN 'LOADED' WHEN w.batch_id <= t.top THEN 'LATE' ELSE 'PENDING' END AS state
+       FROM d_watched w LEFT JOIN (SELECT tenant_id, max(batch_id) AS top FROM d_watched WHERE look = 0 GROUP BY tenant_id) t
+            ON t.tenant_id = w.tenant_id""",
+    {"d_watched": _WATCHED},
+)
+def _(i: Inputs) -> DataFrame:
+    """Two looks at a growing tree. What the first one found is loaded; of the second one's, some came below the mark."""
+    base = scratch(i.spark, "landing-watch")
+    lines = i.f_landing.filter("table_name = 'open_lines'").join(i.sql("SELECT * FROM d_watched", {"d_watched": _WATCHED}), landing.PARTS)
+    watch = LandingWatch(i.spark, f"{base}/tree", f"{base}/state")
+    for look in (0, 1):
+        balanced(lines.filter(F.col("look") == look).drop("look"), *landing.PARTS).write.mode("append").partitionBy(*landing.PARTS).parquet(f"{base}/tree")
+        new = watch.look()
+    loaded = watch.found().filter("look = 0")
+    marks = loaded.groupBy("tenant_id", "schema_name", F.col("table_name").alias("source_table")).agg(F.max("batch_id").alias("last_batch_id"))
+    assert new.filter("look = 0").isEmpty()
+    return batch_states(watch.found(), loaded, marks).join(watch.found().select(*landing.PARTS, "look"), landing.PARTS)
+
+
+@query(
+    "q_landing_files",
+    """SELECT tenant_id, schema_name, table_name, count(DISTINCT batch_id) AS files, TRUE AS sized
+       FROM f_landing GROUP BY tenant_id, schema_name, table_name""",
+)
+def _(i: Inputs) -> DataFrame:
+    """Where the writer puts each batch into one file, the inventory's file counts are those of the batches."""
+    path = scratch(i.spark, "landing-files")
+    i.f_landing.repartition(*landing.PARTS).write.partitionBy(*landing.PARTS).parquet(path)
+    found = landing.landing_inventory(i.spark, path)
+    return found.select("tenant_id", "schema_name", "table_name", "files", (F.col("bytes") > 0).alias("sized"))

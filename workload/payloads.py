@@ -92,6 +92,35 @@ def _(i: Inputs) -> DataFrame:
     return staged.withColumn("place", place).drop("value_json", "stream_id", "micro_batch_id", "stage_seq")
 
 
+@query(
+    "q_stream_new_checkpoint",
+    """SELECT source_partition, source_offset, place, first_copy, later FROM (
+           SELECT source_partition, source_offset,
+                  row_number() OVER (PARTITION BY source_partition, f ORDER BY source_offset) AS place, f AS first_copy, NOT f AS later
+           FROM (""" + _CHECKED + """) c, (VALUES (TRUE), (FALSE)) v(f)) x""",
+    {"d_envelope": _ENVELOPE},
+)
+def _(i: Inputs) -> DataFrame:
+    """The same messages through two checkpoints: the second stream stages them again, above all sequences of the first."""
+    base = scratch(i.spark, "ingest")
+    messages(i).repartition("partition").write.parquet(f"{base}/messages")
+    for stream in ("first", "second"):
+        run = StageRun(
+            tenant_id=1, default_schema="app", expected_db="shop", batch_id=BATCH, run_id=RUN,
+            stage_path=f"{base}/stage", stream_id=stream, ingest_ts=as_of(),
+        )
+        changes = read_changes(i.spark, "parquet", path=f"{base}/messages", maxFilesPerTrigger="8")
+        start_staging(changes, run.append_batch, f"{base}/checkpoint-{stream}").awaitTermination()
+    staged = read_stage(i.spark, run.stage_path)
+    top = staged.filter("stream_id = 'first'").agg(F.max("stage_seq").alias("top"))
+    place = F.row_number().over(Window.partitionBy("stream_id", "source_partition").orderBy("stage_seq"))
+    # the lower of a message's two sequences is the first stream's
+    first = F.row_number().over(Window.partitionBy("source_partition", "source_offset").orderBy("stage_seq")) == 1
+    return staged.join(F.broadcast(top)).select(
+        "source_partition", "source_offset", place.alias("place"), first.alias("first_copy"), (F.col("stage_seq") > F.col("top")).alias("later"),
+    )
+
+
 @query(
     "q_stage_sequence",
     """SELECT commit_lsn, source_offset, CAST(1000 + start + source_offset - low + 1 AS BIGINT) AS stage_seq
@@ -380,6 +409,16 @@ def _(i: Inputs) -> DataFrame:
     return reg.classify_roads(i.f_registry, i.f_columns, ["app", "Brand#3"])
 
 
+@query(
+    "q_road_explicit",
+    """SELECT source_schema, source_table, bronze_table, 'explicit' AS road FROM f_registry
+       WHERE is_active AND lower(source_table) IN ('promo', 'signup', 'view')""",
+)
+def _(i: Inputs) -> DataFrame:
+    """Tables named by the caller: no other rule counts."""
+    return reg.classify_roads(i.f_registry, i.f_columns, ["app", "Brand#3"], tables="PROMO, Signup,view")
+
+
 _RECONCILE = """SELECT p_brand AS schema_name, p_type AS source_table, sum(p_size) - 25 * count(*) AS diff
     FROM {part} GROUP BY p_brand, p_type"""
 

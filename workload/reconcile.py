@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from rivulet.operators import ghosts
 from rivulet.plans.bronze import ghost_sweep
+from rivulet.session import scratch
+from rivulet.sources.sinks import overwrite_report
 from workload.catalog import query
 from workload.changes import AS_OF, KEYS, as_of
 from workload.inputs import Inputs
@@ -106,3 +108,13 @@ def _(i: Inputs) -> DataFrame:
 def _(i: Inputs) -> DataFrame:
     """Dry runs: one tenant would be cleaned, the other trips the fuse. Nothing is deleted."""
     return _sweep(i, 1, i.f_source_ok, True)[2].unionByName(_sweep(i, 4, i.f_source_bad, True)[2])
+
+
+@query("q_report_overwrite", f"SELECT tenant_id, ghost_rows, status FROM ({_COUNTS}) y WHERE snapshot = 'bad'")
+def _(i: Inputs) -> DataFrame:
+    """A report replaced by one with other columns: nothing of the first is left."""
+    path = scratch(i.spark, "report")
+    overwrite_report(ghosts.sweep_counts(i.f_bronze, i.f_source_ok, KEYS, BATCH), path)
+    counts = ghosts.fuse(ghosts.sweep_counts(i.f_bronze, i.f_source_bad, KEYS, BATCH), 10.0)
+    overwrite_report(counts.select("tenant_id", "ghost_rows", "status"), path)
+    return i.spark.read.parquet(path)

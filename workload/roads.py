@@ -26,6 +26,7 @@ REGISTRY = [
     ("shop", "orders", "orders", "O_ORDERKEY", True), ("shop", "marks", "marks", "", True), ("shop", "gone", "gone", "o_orderkey", True),
     ("shop", "lost", "nowhere", "id", True), ("app", "orders", "orders", "o_orderkey", True), ("shop", "old", "orders", "x", False),
 ]
+LACKING = ("shop", "lacking", "orders", "o_custkey, o_orderkey", True)
 
 
 def roads(i: Inputs, orders: DataFrame, batch_id: int, run_id: str) -> tuple[Roads, DataFrame]:
@@ -54,7 +55,7 @@ def ran(i: Inputs, road: str) -> Roads:
         made, registry = roads(i, orders, batch, "wet")
         for run in (replace(made, dry_run=True, run_id="dry"), made):
             if road == "reload":
-                run.reload(registry, streamed=[("APP", "orders")])
+                run.reload(registry.unionByName(i.spark.createDataFrame([LACKING], model.REGISTRY)), streamed=[("APP", "orders")])
             elif road == "replace":
                 run.replace(registry.filter("source_schema = 'shop'"))
             elif road == "fill":
@@ -75,6 +76,7 @@ _SHOP = "(SELECT * FROM f_source_ok WHERE tenant_id = 2)"
             UNION ALL SELECT 'wet', 'shop', 'orders', 'SUCCESS', (SELECT count(*) FROM {_SHOP} s), NULL
             UNION ALL SELECT run, s, t, st, 0, why FROM (VALUES ('dry'), ('wet')) r(run),
                 (VALUES ('shop', 'marks', 'SKIPPED', 'it has no key'), ('shop', 'gone', 'FAILED', 'PATH_NOT_FOUND'),
+                        ('shop', 'lacking', 'SKIPPED', 'the target lacks its key columns: [''o_custkey'']'),
                         ('shop', 'lost', 'SKIPPED', 'target nowhere is not declared'), ('app', 'orders', 'SKIPPED', 'the stream owns it')) o(s, t, st, why)) x""",
 )
 def _(i: Inputs) -> DataFrame:
@@ -97,7 +99,7 @@ def _(i: Inputs) -> DataFrame:
 
 @query(
     "q_reload_header",
-    f"""SELECT run AS execution_id, CAST(5 AS INT) AS total_tables, CAST(CASE run WHEN 'wet' THEN 1 ELSE 0 END AS INT) AS successful_tables,
+    f"""SELECT run AS execution_id, CAST(6 AS INT) AS total_tables, CAST(CASE run WHEN 'wet' THEN 1 ELSE 0 END AS INT) AS successful_tables,
                CAST(1 AS INT) AS failed_tables, 'FAILED' AS status,
                CASE run WHEN 'wet' THEN (SELECT count(*) FROM {_SHOP} s) ELSE 0 END AS total_inserted_rows
         FROM (VALUES ('dry'), ('wet')) r(run)""",
