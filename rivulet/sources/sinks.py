@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.model import empty
+from rivulet.model import DEAD_LETTER, align_schema, empty
 from rivulet.session import settle
 
 
@@ -102,15 +102,8 @@ def dead_letters(
     rows: DataFrame, *, source_table: str, error: str, run_id: str, dead_lettered_at: Column | None = None
 ) -> DataFrame:
     """The raw staged rows of a failed table, ready to be parked and replayed."""
-    return rows.select(
-        (F.current_timestamp() if dead_lettered_at is None else dead_lettered_at).alias("dead_lettered_at"),
-        F.lit(run_id).alias("run_id"),
-        F.col("batch_id").cast("bigint").alias("batch_id"),
-        "source_schema",
-        F.lit(source_table).alias("source_table"),
-        "source_db",
-        "op",
-        "commit_lsn",
-        F.lit(error).alias("error"),
-        F.col("value_json").alias("raw_value"),
-    )
+    known = {
+        "dead_lettered_at": F.current_timestamp() if dead_lettered_at is None else dead_lettered_at,
+        "run_id": F.lit(run_id), "source_table": F.lit(source_table), "error": F.lit(error), "raw_value": F.col("value_json"),
+    }
+    return align_schema(rows.withColumns(known), DEAD_LETTER)

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from rivulet import model
 from rivulet.functions.temporal import decode_temporals
 from rivulet.operators import payload, registry
+from rivulet.session import scratch
+from rivulet.sources.buckets import BucketStore
 from tests.helpers import rows
 
 NEW_YEAR = datetime.datetime(2024, 1, 1)
@@ -84,6 +86,26 @@ def test_align_adds_and_renames(spark):
     assert rows(model.align_schema(df, model.shape("Id int, at timestamp"))) == [(7, None)]
 
 
-def test_bronze_shapes_end_with_meta_columns():
-    for shape in model.BRONZE_TABLES.values():
-        assert shape.names[0] == "tenant_id" and shape.names[-3:] == ["_ingest_date", "_op", "batch_id"]
+DDL = """
+-- two tables, and one whose text was cut
+CREATE TABLE IF NOT EXISTS bronze.Person (
+  tenant_id INT NOT NULL, `Id` STRING COMMENT 'the (only) key', Rate DECIMAL(12,4), At TIMESTAMP, Gone BOOLEAN,
+  _ingest_date DATE, _op STRING, batch_id BIGINT
+) USING delta CLUSTER BY (tenant_id, Id) TBLPROPERTIES ('a' = 'b');
+create or replace table `x`.`Y` (a array<struct<b: int>>) ;
+CREATE TABLE cut (a INT, b DECI
+"""
+
+
+def test_shapes_come_from_ddl_in_its_order(spark):
+    shapes = model.shapes_from_ddl(DDL)
+    assert list(shapes) == ["person", "y"]
+    assert shapes["person"].simpleString() == (
+        "struct<tenant_id:int,Id:string,Rate:decimal(12,4),At:timestamp,Gone:boolean,_ingest_date:date,_op:string,batch_id:bigint>"
+    )
+
+
+def test_tables_are_made_from_ddl(spark):
+    made = BucketStore(spark, scratch(spark, "ddl"), model.shapes_from_ddl(DDL), {"person": ["Id"]}, 2)
+    made.load("person", model.align_schema(spark.createDataFrame([(1, "a", 7)], "tenant_id int, id string, batch_id int"), made.schema("person")))
+    assert rows(made.read("person"), "tenant_id", "Id", "Rate", "batch_id") == [(1, "a", None, 7)]
