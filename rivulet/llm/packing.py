@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,19 +32,20 @@ CACHED_WORDS = 1_000_000  # words whose ids a worker keeps; others are encoded f
 class WordEncoder:
     """Token ids of texts as little-endian uint32 bytes, encoded once per white-space separated word.
 
-    Exact for tokenizers that drop white space and never join across it. ASCII upper case is folded
-    first as the vocabulary is lower case.
+    Exact for tokenizers that fold ASCII case, drop white space and never join across it. The words of many texts are
+    split and numbered by Arrow, so Python sees each different word once. A text with one of the tokenizer's special
+    strings, in any case, is given to the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # the ids that close a word
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -65,7 +67,7 @@ class WordEncoder:
         return found
 
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words not kept so far. A word with one closing comma or stop is its stem and that sign."""
+        """Ids of words not kept so far; those of a special string are never used. A word with one closing comma or stop is its stem and that sign."""
         stems = {w: w[:-1] for w in words if w[-1] in b",." and len(w) > 1 and w[:-1].decode().isalpha()}
         wanted = ({stems.get(w, w) for w in words} | {w[-1:] for w in stems}) - self.known.keys()
         fresh = self._encode(list(wanted))
@@ -76,14 +78,45 @@ class WordEncoder:
         return fresh
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [t.lower().split() for t in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        missing = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
-        fresh = self._learn(missing) if missing else {}
-        for words, ids in zip(split, found):
-            if None in ids:
-                ids = [fresh[w] if i is None else i for w, i in zip(words, ids)]
-            yield b"".join(ids)
+        begin = 0
+        for end in _together([len(t) for t in texts]):
+            yield from self._together(texts[begin:end])
+            begin = end
+
+    def _together(self, texts: list[bytes]) -> Iterator[bytes]:
+        lowered = pc.ascii_lower(pa.array(texts, pa.binary()).cast(pa.large_string()))
+        split = pc.ascii_split_whitespace(lowered)
+        words = split.values.dictionary_encode()  # a word for each place, each different one once
+        different = words.dictionary.cast(pa.large_binary()).to_pylist()
+        ids = list(map(self.known.get, different))
+        missing = {w for w, i in zip(different, ids) if i is None}
+        if missing:
+            fresh = self._learn(missing)
+            ids = [fresh[w] if i is None else i for w, i in zip(different, ids)]
+        # the ids of all words in place, one after the other
+        flat, lengths = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts, places = np.cumsum(lengths) - lengths, words.indices.to_numpy()
+        counts = lengths[places]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        whole = flat[np.repeat(starts[places] - upto[:-1], counts) + np.arange(upto[-1])]
+        cuts = upto[split.offsets.to_numpy()]
+        odd = np.zeros(len(texts), bool)
+        for token in self.special:
+            odd |= pc.match_substring(lowered, token).to_numpy(zero_copy_only=False)
+        for k, text in enumerate(texts):
+            yield (self._ids(text.decode()) if odd[k] else whole[cuts[k] : cuts[k + 1]]).tobytes()
+
+
+def _together(sizes: list[int], most: int = 4_000_000) -> Iterator[int]:
+    """Where to cut a list of texts into parts of about ``most`` bytes; a longer text is a part of its own."""
+    held = 0
+    for k, size in enumerate(sizes):
+        if held and held + size > most:
+            yield k
+            held = 0
+        held += size
+    if sizes:
+        yield len(sizes)
 
 
 def cut(tokens: int, capacity: int) -> list[tuple[int, int]]:
@@ -95,7 +128,7 @@ def _pieces(batches, encoder: Callable, capacity: int, end_id: int):
     encode, end = encoder(), np.array([end_id], "<u4").tobytes()
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "row", "start", "length", "ids_crc32", "doc_tokens")])
     for batch in batches:
-        for part in slices(batch, 200):
+        for part in slices(batch, 2000):
             out = []
             keys = zip(part.column("doc_id").to_pylist(), part.column("row").to_pylist())
             for (doc, row), ids in zip(keys, encode(binaries(part, "text"))):

@@ -15,25 +15,35 @@ def encoder():
     return word_bpe()
 
 
-def whole(encoder, text):
-    return np.array(encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4")
+@pytest.fixture(scope="module")
+def public():
+    """The public tokenizer, as it comes."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def whole(public, text):
+    return np.array(public.encode(text or "", add_special_tokens=False).ids, "<u4")
 
 
 @pytest.mark.parametrize("text", [
     "Plain words, and. more: it's 3.14 don't STOP!! ...", "Été naïve Über straße éa İstanbul", "ΣΣ σς ΟΣ ",
     "tabs\tand\nlines\x0band\x0cmore\r\n", "你好世界 \U0001f600\U0001f468‍\U0001f469 a b c", "", "  ", ",", "a,", "...", "x" * 5000,
-    "<|startoftext|> in a text <|endoftext|>", "٠١٢ ½ Ⅷ ǅ ʰ ﬁ ẞ",
+    "<|startoftext|> in a text <|endoftext|>", "<|endoftext|> x", "A<|endoftext|>b <|ENDOFTEXT|> <|x|>", "  lead and trail  ", "a\x1fb\u2028c",
+    "٠١٢ ½ Ⅷ ǅ ʰ ﬁ ẞ",
 ])
-def test_words_encode_as_the_text_does(encoder, text):
-    assert next(encoder([text.encode()])) == whole(encoder, text).tobytes()
+def test_words_encode_as_the_text_does(encoder, public, text):
+    assert next(encoder([text.encode()])) == whole(public, text).tobytes()
 
 
-def test_words_encode_alike_when_kept_words_are_full(encoder, monkeypatch):
+def test_words_encode_alike_when_kept_words_are_full(public, monkeypatch):
     monkeypatch.setattr("rivulet.llm.packing.CACHED_WORDS", 0)
     rng = random.Random(4)
     texts = [" ".join("".join(rng.choices("abcdefgh", k=rng.randrange(1, 9))) + rng.choice(["", ",", ".", "!"]) for _ in range(200)) for _ in range(5)]
     small = word_bpe()
-    assert list(small([t.encode() for t in texts])) == [whole(encoder, t).tobytes() for t in texts]
+    assert list(small([t.encode() for t in texts])) == [whole(public, t).tobytes() for t in texts]
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -60,11 +70,11 @@ def test_cut():
     assert cut(5000, 2048) == [(0, 2048), (2048, 2048), (4096, 904)]
 
 
-def test_pieces_give_back_the_documents(spark, encoder):
+def test_pieces_give_back_the_documents(spark, public):
     rng = random.Random(1)
     rows = awkward() + [(100 + i, " ".join(f"word{rng.randrange(99)}" for _ in range(rng.randrange(900)))) for i in range(80)]
     found = pack(frame(spark, rows, clash=True), word_bpe, salt_rows=10).collect()
-    ids = [(i, np.append(whole(encoder, t), np.uint32(1)).astype("<u4")) for i, t, *_ in rows]
+    ids = [(i, np.append(whole(public, t), np.uint32(1)).astype("<u4")) for i, t, *_ in rows]
     want = Counter((i, a, k, zlib.crc32(x[a : a + k].tobytes()), len(x)) for i, x in ids for a, k in cut(len(x), 2048))
     assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in found) == want
     sequences = defaultdict(list)
