@@ -2,11 +2,12 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rivulet.llm.components import components
-from rivulet.llm.near_dedup import CHUNKS, MOST_ERRORS, SYMBOLS, chunk_keys, drop_near_copies, errors, flips, near_dedup, symbols
+from rivulet.llm.near_dedup import CHUNKS, FLIPS, MOST_ERRORS, SYMBOLS, _near, chunk_keys, drop_near_copies, flips, near_dedup, symbols
 from tests.llm.corpora import awkward, frame, sentence
 
 
@@ -85,13 +86,21 @@ def test_signatures_within_the_threshold_share_a_key(spark, wrong):
     def table(rows):
         longs = rows.view("<i8").tolist()
         df = spark.createDataFrame([(k, *r) for k, r in enumerate(longs)], ["rep", *CHUNKS])
-        return df.select("rep", "*", F.inline(chunk_keys()))
+        return df.select("rep", *CHUNKS, F.lit(100).cast("bigint").alias("n"), *[F.lit(0).cast("bigint").alias(f) for f in FLIPS], F.inline(chunk_keys()))
 
-    x, y = table(one).alias("x"), table(two).alias("y")
-    met = x.join(y, (F.col("x.rep") == F.col("y.rep")) & (F.col("x.key") == F.col("y.key")))
-    total = sum(errors(F.col(f"x.{c}"), F.col(f"y.{c}")) for c in CHUNKS)
-    found = met.groupBy("x.rep").agg(F.max(total).alias("n")).collect()
-    assert len(found) == 100 and {r.n for r in found} == {wrong}
+    x, y = table(one), table(two)
+    y = y.drop("slot").toDF(*[f"{c}_" for c in y.drop("slot").columns])
+    met = x.join(y, (x["rep"] == y["rep_"]) & (x["key"] == y["key_"]))
+    assert met.select("rep").distinct().count() == 100  # they share a key
+    passed = met.drop("key", "key_").mapInArrow(lambda b: _near(b, 75), "rep bigint, rep_ bigint")
+    assert sorted(r[0] for r in passed.collect()) == (list(range(100)) if wrong <= MOST_ERRORS else [])  # and pass once
+
+
+def test_bitmaps_and_sizes_bound_the_difference():
+    longs = {c: [0, 0] for c in [f"{n}{t}" for t in ("", "_") for n in [*CHUNKS, *FLIPS]]}
+    longs["f0_"] = [2**57 - 1, 2**58 - 1]  # 57 and 58 of 400 bits apart
+    batch = pa.RecordBatch.from_pydict({"slot": [0, 0], "rep": [1, 1], "rep_": [2, 3], "n": [200, 200], "n_": [200, 200], **longs})
+    assert [b.column("rep_").to_pylist() for b in _near(iter([batch]), 75)] == [[2]]
 
 
 def test_signatures_and_bitmaps_follow_the_sets():
