@@ -224,8 +224,10 @@ def mixed_rows(
     """The rows of the mix, shard by shard and shuffled in each: ``docs`` columns, ``mix_shard``, ``mix_order``.
 
     A document taken twice comes twice; one that is taken in part comes with its first words. Rows with
-    null text or without words are not part of a mix.
+    null text or without words are not part of a mix. If ``docs`` has columns of the two names, the new ones get
+    underscores behind theirs.
     """
+    shard, order = (_free(c, docs.columns) for c in ("mix_shard", "mix_order"))
     held = settle(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "mix_docs")
     narrow = held.select("row", *[F.col(f"doc.{c}").alias(a) for c, a in ((id_column, "id"), (text_column, "text"), (source_column, "source"))])
     taken = mix(narrow, "id", "text", seed=seed, row_column="row", **options).where("taken > 0")
@@ -235,8 +237,14 @@ def mixed_rows(
     return (
         rows.select(
             *[cut.alias(c) if c == text_column else F.col(f"doc.{c}") for c in docs.columns],
-            F.col("copy.shard").alias("mix_shard"),
-            F.xxhash64(F.lit(seed + 5), f"doc.{id_column}", "copy.copy").alias("mix_order"),
+            F.col("copy.shard").alias(shard),
+            F.xxhash64(F.lit(seed + 5), f"doc.{id_column}", "copy.copy").alias(order),
         )
-        .repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_order")
+        .repartition(shard).sortWithinPartitions(shard, order)
     )
+
+
+def _free(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name

@@ -6,7 +6,7 @@ import random
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # columns whose names the operators use inside
-CLASHES = ["id", "row", "run", "set", "label", "kept", "size", "copy", "doc", "gone", "sha", "words", "part"]
+CLASHES = ["id", "row", "run", "set", "label", "kept", "size", "copy", "doc", "gone", "sha", "words", "part", "mix_shard", "mix_order"]
 
 
 def sentence(rng: random.Random, n: int, vocabulary: int = 400) -> list[str]:

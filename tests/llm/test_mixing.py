@@ -105,7 +105,7 @@ def test_rows_of_the_mix(spark):
     texts = {r[0]: r[1] for r in rows}
     for r in out.collect():
         words[r.doc_id] += len(r.text.split())
-        assert texts[r.doc_id].startswith(r.text) and r.kept == "kept!"
+        assert texts[r.doc_id].startswith(r.text) and r.kept == "kept!" and r.mix_shard == "mix_shard!"
     assert words == Counter({i: r.taken for i, r in taken.items() if r.taken})
 
 
