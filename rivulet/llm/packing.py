@@ -12,7 +12,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 from itertools import chain
 
@@ -26,6 +26,8 @@ from rivulet.llm.common import binaries, slices
 from rivulet.session import settle
 
 PIECES = "doc_id bigint, row bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
+# Fixed value: the signs of ASCII but for the apostrophe.
+SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 CACHED_WORDS = 1_000_000  # words whose ids a worker keeps; others are encoded for each slice anew
 
 
@@ -50,11 +52,14 @@ class WordEncoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _encode(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         """Words of letters only are encoded together: each then ends with its only closing id."""
         found, plain = {}, []
         for word in words:
-            (plain.append if word.decode().isalpha() else lambda w: found.update({w: self._ids(w.decode()).tobytes()}))(word)
+            if word.decode().isalpha():
+                plain.append(word)
+            else:
+                found[word] = self._ids(word.decode()).tobytes()
         for begin in range(0, len(plain), 1000):
             part = plain[begin : begin + 1000]
             ids = self._ids(b" ".join(part).decode())
@@ -67,12 +72,17 @@ class WordEncoder:
         return found
 
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of words not kept so far; those of a special string are never used. A word with one closing comma or stop is its stem and that sign."""
-        stems = {w: w[:-1] for w in words if w[-1] in b",." and len(w) > 1 and w[:-1].decode().isalpha()}
-        wanted = ({stems.get(w, w) for w in words} | {w[-1:] for w in stems}) - self.known.keys()
-        fresh = self._encode(list(wanted))
+        """Ids of words not kept so far; those of a special string are never used. Letters and the signs behind them
+        are encoded apart: the tokenizer never joins them (but for an apostrophe, which is not among the signs)."""
+        stems = {}
+        for word in words:
+            stem = word.rstrip(SIGNS)
+            if stem and len(stem) < len(word) and stem.decode().isalpha():
+                stems[word] = stem
+        wanted = ({stems.get(w, w) for w in words} | {w[len(s) :] for w, s in stems.items()}) - self.known.keys()
+        fresh = self._encode(wanted)
         get = lambda w: self.known.get(w) or fresh[w]
-        fresh.update([(w, get(s) + get(w[-1:])) for w, s in stems.items()])
+        fresh.update([(w, get(s) + get(w[len(s) :])) for w, s in stems.items()])
         if len(self.known) < CACHED_WORDS:
             self.known.update(fresh)
         return fresh
@@ -93,21 +103,21 @@ class WordEncoder:
         if missing:
             fresh = self._learn(missing)
             ids = [fresh[w] if i is None else i for w, i in zip(different, ids)]
-        # the ids of all words in place, one after the other
-        flat, lengths = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts, places = np.cumsum(lengths) - lengths, words.indices.to_numpy()
-        counts = lengths[places]
-        upto = np.concatenate([[0], np.cumsum(counts)])
-        whole = flat[np.repeat(starts[places] - upto[:-1], counts) + np.arange(upto[-1])]
-        cuts = upto[split.offsets.to_numpy()]
+        # the ids of all words in place, one after the other in one buffer
+        placed = pa.array(ids, pa.large_binary()).take(words.indices)
+        _, ends, data = placed.buffers()
+        cuts = np.frombuffer(ends, np.int64)[placed.offset :][split.offsets.to_numpy()]
         odd = np.zeros(len(texts), bool)
         for token in self.special:
             odd |= pc.match_substring(lowered, token).to_numpy(zero_copy_only=False)
-        for k, text in enumerate(texts):
-            yield (self._ids(text.decode()) if odd[k] else whole[cuts[k] : cuts[k + 1]]).tobytes()
+        for text, is_odd, begin, end in zip(texts, odd.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+            if is_odd:
+                yield self._ids(text.decode()).tobytes()
+            else:
+                yield data.slice(begin, end - begin).to_pybytes() if end > begin else b""
 
 
-def _together(sizes: list[int], most: int = 4_000_000) -> Iterator[int]:
+def _together(sizes: list[int], most: int = 8_000_000) -> Iterator[int]:
     """Where to cut a list of texts into parts of about ``most`` bytes; a longer text is a part of its own."""
     held = 0
     for k, size in enumerate(sizes):
@@ -128,7 +138,7 @@ def _pieces(batches, encoder: Callable, capacity: int, end_id: int):
     encode, end = encoder(), np.array([end_id], "<u4").tobytes()
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "row", "start", "length", "ids_crc32", "doc_tokens")])
     for batch in batches:
-        for part in slices(batch, 2000):
+        for part in slices(batch, 4000):
             out = []
             keys = zip(part.column("doc_id").to_pylist(), part.column("row").to_pylist())
             for (doc, row), ids in zip(keys, encode(binaries(part, "text"))):

@@ -32,7 +32,7 @@ def whole(public, text):
     "Plain words, and. more: it's 3.14 don't STOP!! ...", "Été naïve Über straße éa İstanbul", "ΣΣ σς ΟΣ ",
     "tabs\tand\nlines\x0band\x0cmore\r\n", "你好世界 \U0001f600\U0001f468‍\U0001f469 a b c", "", "  ", ",", "a,", "...", "x" * 5000,
     "<|startoftext|> in a text <|endoftext|>", "<|endoftext|> x", "A<|endoftext|>b <|ENDOFTEXT|> <|x|>", "  lead and trail  ", "a\x1fb\u2028c",
-    "٠١٢ ½ Ⅷ ǅ ʰ ﬁ ẞ",
+    "٠١٢ ½ Ⅷ ǅ ʰ ﬁ ẞ", "word&&& a.%%% b,### c's d!'s e'!s f..' (g) h-i é*** é\u0301*** ʼn!! x_y_ _z 3.! ,.,",
 ])
 def test_words_encode_as_the_text_does(encoder, public, text):
     assert next(encoder([text.encode()])) == whole(public, text).tobytes()
