@@ -159,7 +159,10 @@ class Stage:
         one.write.mode("append").partitionBy("ingest_date").parquet(f"{self.path}.ledger")
 
     def fold(self, before: date) -> None:
-        """Put the records of past days into one file a day, so that the ledger does not grow by files."""
+        """Put the records of past days into one file a day, so that the ledger does not grow by files.
+
+        To be called once a day, while no cycle reads the ledger.
+        """
         old = self.records().filter(F.col("ingest_date") < before)
         old = balanced(old.dropDuplicates(["stream_id", "micro_batch_id"]), "ingest_date")
         old.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date").parquet(f"{self.path}.ledger")
@@ -214,7 +217,7 @@ class Stage:
         top = open_.agg(
             F.max("high").alias("boundary"), F.max("batch_id").alias("batch"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")
         ).first()
-        reserved = self.records().filter(mine).select((F.col("base") + 1).alias("low"), F.col("high_water").alias("high"))
+        reserved = self.records().filter(mine & (F.col("high_water") > F.col("base"))).select((F.col("base") + 1).alias("low"), F.col("high_water").alias("high"))
         ranges = [tuple(r) for r in merged_ranges(reserved, []).orderBy("low").collect()]
         return Claim(top["boundary"], top["batch"], top["rows"], open_, ranges)
 

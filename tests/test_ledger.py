@@ -84,6 +84,13 @@ def test_rows_that_were_written_without_a_record_do_not_count(spark):
     assert stage.claim(1, at()).rows == stage.rows().count() == 3
 
 
+def test_micro_batches_without_rows_take_no_sequence(spark):
+    stage = filled(spark, [MESSAGES[5]], MESSAGES[:2], [MESSAGES[5]])  # only for another database
+    assert rows(stage.records(), "micro_batch_id", "base", "high_water") == [(0, 0, 0), (1, 0, 2), (2, 2, 2)]
+    claim = stage.claim(1, at())
+    assert (claim.boundary, claim.rows, claim.ranges) == (2, 2, [(1, 2)])
+
+
 @pytest.mark.parametrize("column", ["source_partition", "source_offset"])
 def test_messages_without_a_place_are_refused(spark, column):
     stage = Stage(spark, scratch(spark, "ledger-test") + "/stage")
