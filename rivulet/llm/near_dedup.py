@@ -20,6 +20,7 @@ deviations above, so of pairs exactly at the threshold about 5 in 10,000 are mis
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -129,30 +130,29 @@ def chunk_keys() -> Column:
     return F.array(*keys)
 
 
-def _near(batches: Iterator[pa.RecordBatch], share: int):
-    """Of pairs that share a key those that may be links, each at the key at which it passes.
+def alike(x: DataFrame, y: DataFrame, share: int) -> Column:
+    """Whether sizes and bitmaps leave room for the similarity. ``y`` has the columns of ``x`` with an underscore behind them."""
+    apart = reduce(lambda a, b: a + b, [F.bit_count(x[f].bitwiseXOR(y[f"{f}_"])) for f in FLIPS])
+    # similarity of at least s means a difference of at most (1 - s) / (1 + s) of both sizes
+    return (100 * F.least(x["n"], y["n_"]) >= share * F.greatest(x["n"], y["n_"])) & (
+        apart * (100 + share) <= (x["n"] + y["n_"]) * (100 - share)
+    )
 
-    ``y`` has the columns of ``x`` with an underscore behind them.
-    """
 
-    def stacked(part, names: list[str]) -> np.ndarray:
-        return np.stack([part.column(n).to_numpy() for n in names], axis=1)
+def _near(batches: Iterator[pa.RecordBatch]):
+    """Of pairs that share a key those whose signatures are near enough, each at the key at which it passes."""
+
+    def signatures(part, tag: str) -> np.ndarray:
+        return np.stack([part.column(f"{c}{tag}").to_numpy() for c in CHUNKS], axis=1).view("<u2")
 
     for batch in batches:
         for part in slices(batch, 20_000):
-            x, y = (np.ascontiguousarray(stacked(part, [f"{c}{tag}" for c in CHUNKS])).view("<u2") for tag in ("", "_"))
-            wrong = (x != y).reshape(-1, len(CHUNKS), PER_CHUNK).sum(axis=2)
+            wrong = (signatures(part, "") != signatures(part, "_")).reshape(-1, len(CHUNKS), PER_CHUNK).sum(axis=2)
             slot = part.column("slot").to_numpy()
             # the pair's first chunk with at most one error, and which of its symbols is left out
             first = (wrong <= 1).argmax(axis=1)
             left_out = np.where(wrong[np.arange(len(slot)), first] == 0, 0, slot % PER_CHUNK)
-            apart = np.bitwise_count(stacked(part, FLIPS) ^ stacked(part, [f"{f}_" for f in FLIPS])).sum(axis=1, dtype=np.int64)
-            both = part.column("n").to_numpy() + part.column("n_").to_numpy()
-            # similarity of at least s means a difference of at most (1 - s) / (1 + s) of both sizes
-            kept = (
-                (wrong.sum(axis=1) <= MOST_ERRORS) & (slot == first * PER_CHUNK + left_out)
-                & (apart * (100 + share) <= both * (100 - share))
-            )
+            kept = (wrong.sum(axis=1) <= MOST_ERRORS) & (slot == first * PER_CHUNK + left_out)
             yield part.filter(pa.array(kept)).select(["rep", "rep_"])
 
 
@@ -208,10 +208,9 @@ def link_classes(classes: DataFrame, sets_of, share: int) -> DataFrame:
     ).where("labels > 1")
     still = settle(rows.join(largest.drop("labels"), "key").join(classes, "rep"), "open_keys")
     x, y = still.where("label <> main"), still.drop("main", "slot").toDF(*[f"{c}_" for c in still.drop("main", "slot").columns])
-    smaller, larger = F.least(x["n"], y["n_"]), F.greatest(x["n"], y["n_"])
-    met = x.join(y, (x["key"] == y["key_"]) & (x["label"] != y["label_"]) & (100 * smaller >= share * larger))
-    sides = ["slot", *[f"{c}{tag}" for tag in ("", "_") for c in ["rep", "n", *CHUNKS, *FLIPS]]]
-    pairs = met.select(*sides).mapInArrow(lambda batches: _near(batches, share), "rep bigint, rep_ bigint")
+    met = x.join(y, (x["key"] == y["key_"]) & (x["label"] != y["label_"]) & alike(x, y, share))
+    sides = ["slot", *[f"{c}{tag}" for tag in ("", "_") for c in ["rep", *CHUNKS]]]
+    pairs = met.select(*sides).mapInArrow(_near, "rep bigint, rep_ bigint")
     pairs = pairs.select(F.least("rep", "rep_").alias("a"), F.greatest("rep", "rep_").alias("b")).distinct()
     bridges = settle(confirmed(pairs, sets, share), "bridges")
     return components(stars.unionByName(bridges))

@@ -2,12 +2,11 @@ import random
 from collections import defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rivulet.llm.components import components
-from rivulet.llm.near_dedup import CHUNKS, FLIPS, MOST_ERRORS, SYMBOLS, _near, chunk_keys, drop_near_copies, flips, near_dedup, symbols
+from rivulet.llm.near_dedup import CHUNKS, FLIPS, MOST_ERRORS, SYMBOLS, _near, alike, chunk_keys, drop_near_copies, flips, near_dedup, symbols
 from tests.llm.corpora import awkward, frame, sentence
 
 
@@ -92,15 +91,19 @@ def test_signatures_within_the_threshold_share_a_key(spark, wrong):
     y = y.drop("slot").toDF(*[f"{c}_" for c in y.drop("slot").columns])
     met = x.join(y, (x["rep"] == y["rep_"]) & (x["key"] == y["key_"]))
     assert met.select("rep").distinct().count() == 100  # they share a key
-    passed = met.drop("key", "key_").mapInArrow(lambda b: _near(b, 75), "rep bigint, rep_ bigint")
+    passed = met.select(*[c for c in met.columns if not c.startswith(("key", "n", "f"))]).mapInArrow(_near, "rep bigint, rep_ bigint")
     assert sorted(r[0] for r in passed.collect()) == (list(range(100)) if wrong <= MOST_ERRORS else [])  # and pass once
 
 
-def test_bitmaps_and_sizes_bound_the_difference():
-    longs = {c: [0, 0] for c in [f"{n}{t}" for t in ("", "_") for n in [*CHUNKS, *FLIPS]]}
-    longs["f0_"] = [2**57 - 1, 2**58 - 1]  # 57 and 58 of 400 bits apart
-    batch = pa.RecordBatch.from_pydict({"slot": [0, 0], "rep": [1, 1], "rep_": [2, 3], "n": [200, 200], "n_": [200, 200], **longs})
-    assert [b.column("rep_").to_pylist() for b in _near(iter([batch]), 75)] == [[2]]
+def test_bitmaps_and_sizes_bound_the_difference(spark):
+    def table(*rows):
+        return spark.createDataFrame([(k, n, f, *[0] * (len(FLIPS) - 1)) for k, n, f in rows], ", ".join(f"{c} bigint" for c in ["rep", "n", *FLIPS]))
+
+    x = table((1, 200, 0))
+    y = table((2, 200, 2**57 - 1), (3, 200, 2**58 - 1), (4, 150, 0), (5, 149, 0))  # 57 and 58 of 400 bits apart, three quarters and less
+    y = y.toDF(*[f"{c}_" for c in y.columns])
+    met = x.join(y, alike(x, y, 75))
+    assert sorted(r[0] for r in met.select("rep_").collect()) == [2, 4]
 
 
 def test_signatures_and_bitmaps_follow_the_sets():

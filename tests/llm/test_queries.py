@@ -1,5 +1,6 @@
 """The registered queries of the corpus operators and the pipeline on the smallest scale."""
 
+import random
 import zlib
 
 import pytest
@@ -7,6 +8,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from rivulet.llm.queries import ORACLES, QUERIES, word_bpe
+from tests.llm.corpora import awkward, frame, sentence
 from tests.oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -70,3 +72,22 @@ def test_pipeline_against_a_plain_version(spark, con):
             assert words(after) == pytest.approx(1.5 * words(before), abs=25)
             assert max(ids.count(i) for i in set(ids)) <= 2
         docs = spark.createDataFrame(after, out.schema)
+
+
+def test_pipeline_on_awkward_and_empty_tables(spark, tmp_path):
+    """Nulls, blanks, very long texts, repeated ids, and columns named like those that the stages use inside."""
+    rng = random.Random(5)
+    rows = [*awkward(), *[(k, " ".join(sentence(rng, rng.randrange(20, 300)))) for k in range(100, 140)]]
+    frame(spark, rows, clash=True).write.parquet(f"{tmp_path}/some/documents.parquet")
+    frame(spark, []).write.parquet(f"{tmp_path}/none/documents.parquet")
+    for name, labels in (("some", [(k, k % 4 > 0, k % 9 == 0) for k in range(100, 140)]), ("none", [])):
+        df = spark.createDataFrame([(i, int(q), int(t)) for i, q, t in labels], "doc_id bigint, quality int, toxic int")
+        df.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    pieces = corpus_pipeline.run(spark, f"{tmp_path}/some")
+    assert pieces.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    known = {r[0] for r in rows}
+    found = pieces.collect()
+    assert found and {r.doc_id for r in found} <= known
+    for r in found:
+        assert 0 <= r.offset and r.offset + r.length <= 2048 and 0 <= r.start < r.doc_tokens
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
