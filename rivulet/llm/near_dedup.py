@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -139,6 +140,27 @@ def alike(x: DataFrame, y: DataFrame, share: int) -> Column:
     )
 
 
+def errors(x: Column, y: Column) -> Column:
+    """In how many of its four symbols a chunk differs."""
+    z = x.bitwiseXOR(y)
+    for shift, kept in ((8, 0x00FF), (4, 0x000F), (2, 0x0003), (1, 0x0001)):
+        mask = F.lit(kept * 0x0001000100010001).cast("bigint")
+        z = z.bitwiseOR(F.shiftrightunsigned(z, shift)).bitwiseAND(mask)
+    return F.bit_count(z)
+
+
+def chunks_at_slot() -> list[Column]:
+    """The chunk that a key is of, and the chunk before it (null for the first)."""
+    at, chunks = F.floor(F.col("slot") / PER_CHUNK).cast("int"), F.array(*CHUNKS)
+    return [F.get(chunks, at).alias("own"), F.when(at > 0, F.get(chunks, at - 1)).alias("before")]
+
+
+def may_pass(x: DataFrame, y: DataFrame) -> Column:
+    """Whether this can be the key at which a pair passes: of an equal chunk only the first key, and of chunks with at most
+    one error that follow each other only the first. It spares most of a pair's other keys the way through Python."""
+    return ((x["own"] != y["own_"]) | (x["slot"] % PER_CHUNK == 0)) & (x["before"].isNull() | (errors(x["before"], y["before_"]) >= 2))
+
+
 def _near(batches: Iterator[pa.RecordBatch]):
     """Of pairs that share a key those whose signatures are near enough, each at the key at which it passes."""
 
@@ -206,9 +228,10 @@ def link_classes(classes: DataFrame, sets_of, share: int) -> DataFrame:
     largest = sizes.groupBy("key").agg(
         F.max_by("label", F.struct("m", -F.col("label"))).alias("main"), F.count("*").alias("labels")
     ).where("labels > 1")
-    still = settle(rows.join(largest.drop("labels"), "key").join(classes, "rep"), "open_keys")
+    still = rows.join(largest.drop("labels"), "key").join(classes, "rep").select("*", *chunks_at_slot())
+    still = settle(still, "open_keys")
     x, y = still.where("label <> main"), still.drop("main", "slot").toDF(*[f"{c}_" for c in still.drop("main", "slot").columns])
-    met = x.join(y, (x["key"] == y["key_"]) & (x["label"] != y["label_"]) & alike(x, y, share))
+    met = x.join(y, (x["key"] == y["key_"]) & (x["label"] != y["label_"]) & alike(x, y, share) & may_pass(x, y))
     sides = ["slot", *[f"{c}{tag}" for tag in ("", "_") for c in ["rep", *CHUNKS]]]
     pairs = met.select(*sides).mapInArrow(_near, "rep bigint, rep_ bigint")
     pairs = pairs.select(F.least("rep", "rep_").alias("a"), F.greatest("rep", "rep_").alias("b")).distinct()

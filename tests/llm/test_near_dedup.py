@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rivulet.llm.components import components
-from rivulet.llm.near_dedup import CHUNKS, FLIPS, MOST_ERRORS, SYMBOLS, _near, alike, chunk_keys, drop_near_copies, flips, near_dedup, symbols
+from rivulet.llm.near_dedup import CHUNKS, FLIPS, MOST_ERRORS, SYMBOLS, _near, alike, chunk_keys, chunks_at_slot, drop_near_copies, flips, may_pass, near_dedup, symbols
 from tests.llm.corpora import awkward, frame, sentence
 
 
@@ -85,14 +85,16 @@ def test_signatures_within_the_threshold_share_a_key(spark, wrong):
     def table(rows):
         longs = rows.view("<i8").tolist()
         df = spark.createDataFrame([(k, *r) for k, r in enumerate(longs)], ["rep", *CHUNKS])
-        return df.select("rep", *CHUNKS, F.lit(100).cast("bigint").alias("n"), *[F.lit(0).cast("bigint").alias(f) for f in FLIPS], F.inline(chunk_keys()))
+        return df.select("rep", *CHUNKS, F.lit(100).cast("bigint").alias("n"), *[F.lit(0).cast("bigint").alias(f) for f in FLIPS], F.inline(chunk_keys())).select("*", *chunks_at_slot())
 
     x, y = table(one), table(two)
     y = y.drop("slot").toDF(*[f"{c}_" for c in y.drop("slot").columns])
     met = x.join(y, (x["rep"] == y["rep_"]) & (x["key"] == y["key_"]))
     assert met.select("rep").distinct().count() == 100  # they share a key
-    passed = met.select(*[c for c in met.columns if not c.startswith(("key", "n", "f"))]).mapInArrow(_near, "rep bigint, rep_ bigint")
-    assert sorted(r[0] for r in passed.collect()) == (list(range(100)) if wrong <= MOST_ERRORS else [])  # and pass once
+    for pairs in (met, met.where(may_pass(x, y))):
+        sides = [c for c in pairs.columns if not c.startswith(("key", "n", "f", "own", "before"))]
+        passed = pairs.select(*sides).mapInArrow(_near, "rep bigint, rep_ bigint")
+        assert sorted(r[0] for r in passed.collect()) == list(range(100))  # and pass once
 
 
 def test_bitmaps_and_sizes_bound_the_difference(spark):
