@@ -157,8 +157,14 @@ def link_prints(prints: DataFrame) -> DataFrame:
         & ((x["slot"] < 56) | (x["side"] != y["side_"]))
         & linked(x["bits"], y["bits_"])
     )
-    bridges = x.join(y, meet).select(F.col("bits").alias("a"), F.col("bits_").alias("b")).distinct()
-    return components(stars.unionByName(settle(bridges, "bridges")))
+    # what is linked already counts as one: components, not fingerprints, are joined from here on
+    bridges = x.join(y, meet).select(F.least("label", "label_").alias("a"), F.greatest("label", "label_").alias("b")).distinct()
+    second = components(settle(bridges, "bridges")).select(F.col("node").alias("old"), F.col("label").alias("new"))
+    alone = second.select(F.col("old").alias("bits"), F.col("old").alias("label"))  # components of one have no star
+    of_first = first.unionByName(alone.join(first, "bits", "left_anti"))
+    return of_first.join(second, F.col("label") == F.col("old"), "left").select(
+        F.col("bits").alias("node"), F.coalesce("new", "label").alias("label")
+    )
 
 
 def simhash_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -104,6 +104,28 @@ def test_crowds_and_chains(spark):
     assert len({min(g) for g in groups.values()}) == len(groups)
 
 
+def test_components_meet_once_however_many_fingerprints_link_them(spark, monkeypatch):
+    rng, calls = random.Random(9), []
+    centre = rng.getrandbits(64)
+    crowd = {centre}
+    while len(crowd) < 300:
+        crowd.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 6))))
+    plain_labels = simhash.components
+
+    def kept(links):
+        found = plain_labels(links)
+        calls.append((links.select("a", "b").collect(), {r["label"] for r in found.collect()}))
+        return found
+
+    monkeypatch.setattr(simhash, "components", kept)
+    linked_labels(spark, sorted(crowd))
+    (_, labels), (bridges, _) = calls
+    own = {simhash._signed(p) for p in crowd}
+    singles = own - {x for row in calls[0][0] for x in row}
+    assert {x for row in bridges for x in row} <= labels | singles
+    assert len(bridges) == len({tuple(sorted(row)) for row in bridges})
+
+
 def test_tally(spark):
     rng = random.Random(2)
     pairs = [(rng.getrandbits(64), rng.getrandbits(64)) for _ in range(50)]
