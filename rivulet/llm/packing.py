@@ -27,7 +27,7 @@ from rivulet.session import settle
 PIECES = "doc_id bigint, row bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 # Fixed value: the signs of ASCII but for the apostrophe.
 SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-CACHED_WORDS = 1_000_000  # words whose ids a worker keeps; others are encoded for each slice anew
+CACHED_WORDS = 400_000  # words whose ids an encoder keeps; others are encoded for each slice anew
 
 
 class WordEncoder:
@@ -209,7 +209,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``encoder()`` is made once in a worker and maps texts (bytes) to token ids (uint32 bytes). Null and
+    ``encoder()`` is asked for once in a task and maps texts (bytes) to token ids (uint32 bytes). Null and
     empty texts have the end id alone. Rows that repeat an id are packed like any other. An empty table
     gives an empty result; other columns are not read.
     """

@@ -1,8 +1,10 @@
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rivulet.llm.packing import WordEncoder, cut, pack, shortest_pack_first, slots
@@ -92,3 +94,20 @@ def test_pieces_give_back_the_documents(spark, public):
 
 def test_empty(spark):
     assert pack(frame(spark, []), word_bpe).collect() == []
+
+
+def test_a_worker_keeps_its_encoder_from_task_to_task(spark):
+    def encoders(batches):
+        for batch in batches:
+            encoder = word_bpe()
+            before = len(encoder.known)
+            list(encoder([b"kept for the next task"]))
+            yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "before": [before], "after": [len(encoder.known)]})
+
+    found = spark.range(0, 32, 1, 32).mapInArrow(encoders, "pid bigint, before bigint, after bigint").collect()
+    by_worker = {}
+    for r in found:
+        by_worker.setdefault(r["pid"], []).append(r)
+    assert len(by_worker) < 32
+    for rows in by_worker.values():  # only a worker's first task learns the words
+        assert sum(r["after"] > r["before"] for r in rows) <= 1
