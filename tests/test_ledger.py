@@ -19,6 +19,8 @@ from rivulet.streaming.ledger import RANGES, LostPlace, Stage, merged_ranges, ou
 from rivulet.streaming.stage import StageRun
 from tests.helpers import rows
 from tests.test_stream import MESSAGES, PERSON, REGISTRY, at, message, people, placed
+from workload import cycles
+from workload.inputs import Inputs
 
 EARLY = datetime.datetime(2024, 1, 1, 12)
 
@@ -236,3 +238,23 @@ def test_an_empty_stage_is_an_empty_cycle(spark):
     assert run_cycle(stage, registry, tables, kept, tenant_id=1, run_id="r1", as_of=at()).status == "EMPTY"
     stage.acknowledge("r0", spark.createDataFrame([], RANGES))
     assert stage.acknowledged().count() == 0
+
+
+def test_events_are_read_once_for_all_micro_batches(spark, tmp_path, monkeypatch):
+    days = [1, 10, 11, 20, 25, 26, 31, None]
+    times = [None if d is None else datetime.datetime(2024, 1, d, 12) for d in days]
+    events = [(n, t, n % 3, "signup", 10.0 if n < 8 else 70.0) for n, t in enumerate(times * 2)] * 2
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    spark.createDataFrame(events, schema).write.parquet(f"{tmp_path}/events.parquet")
+    i, got = Inputs(spark, str(tmp_path)), {}
+    monkeypatch.setattr(Stage, "put", lambda _, df, **to: got.setdefault((to["tenant_id"], to["micro_batch_id"]), (df, to["ingest_ts"])))
+    cycles.staged(i, f"{tmp_path}/stage")
+    assert sorted(got) == [(t, n) for t in (1, 2) for n in range(4)]
+    staged = cycles.event_stage(i)
+    for (tenant, number), (df, at_) in got.items():
+        assert not [f for f in df.inputFiles() if "events.parquet" in f]
+        first = 1 if number == 0 else cycles.DAYS[number - 1] + 1
+        during = staged.filter(F.dayofmonth("ingest_ts").between(first, cycles.DAYS[number]))
+        assert at_ == during.agg(F.max("ingest_ts")).first()[0]
+        want = during.filter(F.col("tenant_id") == tenant).withColumnRenamed("stage_seq", "source_offset")
+        assert rows(df, *want.columns) == rows(want) != []
