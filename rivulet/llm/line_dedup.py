@@ -20,11 +20,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import GAP, text_or_empty
-from rivulet.session import settle
+from rivulet.session import settle_free
 
 NUM, DEN = 9, 10  # similarity 0.9
 BUCKETS = 1 << 14
 RUNS = 64
+MOST_MARKS = 1 << 21  # words in the table of marks, 16 MB
 SPACES = " \t\x0b\f\r"
 
 
@@ -39,22 +40,18 @@ def _lines(docs: DataFrame, id_column: str, text_column: str, rarity: Column) ->
 
 
 def _words(line: str, rarity: Column) -> Column:
+    mask = F.lit(BUCKETS - 1).cast("bigint")
     hashes = F.transform(F.split(F.lower(line), GAP), lambda w: F.xxhash64(w))
-    numbers = F.transform(
-        hashes,
-        lambda h: F.shiftleft(
-            F.coalesce(F.get(rarity, h.bitwiseAND(F.lit(BUCKETS - 1).cast("bigint")).cast("int")), F.lit(0).cast("bigint")), 53
-        ).bitwiseOR(F.shiftrightunsigned(h, 11)),
-    )
+    numbers = F.transform(hashes, lambda h: F.get(rarity, h.bitwiseAND(mask).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 11)))
     return F.sort_array(F.array_distinct(numbers))
 
 
 def _frequencies(docs: DataFrame, text_column: str) -> Column:
-    """For each bucket how often the corpus has its words, on a scale of 1024 steps."""
+    """For each bucket how often the corpus has its words: 1024 steps, in the bits above a word's hash."""
     words = docs.select(F.explode(F.split(F.lower(text_or_empty(text_column)), GAP)).alias("w"))
     bucket = F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1).cast("bigint"))
     found = {r["bucket"]: r["count"] for r in words.groupBy(bucket.alias("bucket")).count().collect()}  # at most BUCKETS rows
-    steps = [min(1023, int(24 * math.log2(found.get(b, 0) + 1))) for b in range(BUCKETS)]
+    steps = [min(1023, int(24 * math.log2(found.get(b, 0) + 1))) << 53 for b in range(BUCKETS)]
     return F.split(F.lit(",".join(map(str, steps))), ",").cast("array<bigint>")
 
 
@@ -94,6 +91,28 @@ def _columns(df: DataFrame, prefix: str = "") -> dict[str, Column]:
     return {c: df[f"{prefix}{c}"] for c in ("n", "place", "bits")}
 
 
+def _marked(rows: DataFrame, of: DataFrame, column: str, by: str) -> DataFrame:
+    """The ``rows`` whose ``column`` may be a ``by`` of ``of``: all that are, and few others.
+
+    A table of bits, 16 to 32 for each row of ``of``, is one row and goes to all tasks; beyond ``MOST_MARKS`` words of
+    64 bits it lets more rows pass.
+    """
+    spark = rows.sparkSession
+    size = min(MOST_MARKS, max(1 << 10, 1 << (of.count() // 4).bit_length()))
+
+    def place(c: str) -> Column:
+        return F.col(c).bitwiseAND(F.lit(size - 1).cast("bigint")).cast("int")
+
+    def bit(c: str) -> Column:
+        return F.shiftrightunsigned(c, 58).cast("int")
+
+    one = F.lit(1).cast("bigint")
+    set_bits = of.select(place(by).alias("at"), F.call_function("shiftleft", one, bit(by)).alias("bits"))
+    words = set_bits.union(spark.range(size).select(F.col("id").cast("int"), F.lit(0).cast("bigint"))).groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    table = words.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "bits"))), lambda w: w["bits"]).alias("marks"))
+    return rows.join(F.broadcast(table), F.getbit(F.get("marks", place(column)), bit(column)) == 1).drop("marks")
+
+
 def later_matches(pairs: DataFrame, first: DataFrame, sets: DataFrame) -> DataFrame:
     """(a) of each pair (a, other) whose class comes later and is similar by its full set."""
     one = sets.join(first, ["a", "b"]).select("a", F.col("words").alias("w"), F.col("first").alias("f"))
@@ -114,7 +133,7 @@ def similar_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """
     rarity = _frequencies(docs, text_column)
     key = F.struct("id", "print", "line_no")
-    lines = settle(
+    lines = settle_free(
         _lines(docs, id_column, text_column, rarity).select(
             "id", "print", "line_no", *_class_columns(), F.size("words").alias("n"), _bits().alias("bits"), _prefix().alias("prefix"),
             F.pmod(F.xxhash64("id", "print"), F.lit(RUNS)).alias("run"),
@@ -124,40 +143,37 @@ def similar_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     narrow = lines.select("id", "print", "line_no", "a", "b", "run")
     # classes in two steps, as one line may make up much of the corpus
     parts = narrow.groupBy("run", "a", "b").agg(F.min(key).alias("first"))
-    classes = settle(
+    classes = settle_free(
         lines.groupBy("a", "b").agg(F.min(key).alias("first"), *[F.first(c).alias(c) for c in ("n", "bits", "prefix")]), "classes"
     )
     rows = classes.select("a", "n", "bits", F.col("first.id").alias("low"), F.posexplode("prefix").alias("place", "word"))
-    met = rows.groupBy("word").agg(F.min("a").alias("a0"), F.max("a").alias("a1")).where("a0 <> a1").select("word")
-    shared = settle(rows.join(met, "word"), "shared_prefixes")
-
-    hub = shared.groupBy("word").agg(F.min_by(F.struct("a", "n", "place", "bits"), F.struct("low", "a")).alias("hub")).select(
+    hub = rows.groupBy("word").agg(F.min_by(F.struct("a", "n", "place", "bits"), F.struct("low", "a")).alias("hub")).select(
         F.col("word").alias("word_"), *[F.col(f"hub.{c}").alias(f"{c}_") for c in ("a", "n", "place", "bits")]
     )
-    other = shared.toDF(*[f"{c}_" for c in shared.columns])
+    other = rows.toDF(*[f"{c}_" for c in rows.columns])
 
     def pairs(x: DataFrame, y: DataFrame) -> DataFrame:
         on = (x["word"] == y["word_"]) & (x["a"] != y["a_"]) & _can_match(_columns(x), {c: y[f"{c}_"] for c in ("n", "place", "bits")})
         return x.join(y, on).select("a", F.col("a_").alias("other")).distinct()
 
     def removed(found: DataFrame) -> DataFrame:
-        found = settle(found, "line_pairs")
+        found = settle_free(found, "line_pairs")
         wanted = found.select("a").union(found.select("other")).distinct()
         # one line stands for a class; its words are read from its document again
         at = classes.join(wanted, "a", "left_semi").select("a", "b", "first.*")
         text = text_or_empty(text_column)
         held = docs.select(F.col(id_column).alias("did"), F.xxhash64(text).alias("dprint"), text.alias("text"))
-        spots = at.groupBy("id", "print").agg(F.collect_set("line_no").alias("spots"))
-        texts = held.join(spots, held["did"].eqNullSafe(spots["id"]) & (held["dprint"] == spots["print"])).select(
+        spots = settle_free(at.groupBy("id", "print").agg(F.collect_set("line_no").alias("spots")), "spots")
+        texts = _marked(held, spots, "dprint", "print").join(spots, held["did"].eqNullSafe(spots["id"]) & (held["dprint"] == spots["print"])).select(
             F.col("did").alias("id"),
             F.explode(F.transform("spots", lambda k: F.element_at(F.split("text", "\n"), k + 1))).alias("text"),
         )
         sets = _lines(texts, "id", "text", rarity).select("words", *_class_columns()).dropDuplicates(["a", "b"])
         first = classes.select("a", "b", "first")
-        return settle(later_matches(found, first, sets.join(wanted, "a", "left_semi")), "later")
+        return settle_free(later_matches(found, first, sets.join(wanted, "a", "left_semi")), "later")
 
-    gone = removed(pairs(shared, hub))
-    left = shared.join(gone, "a", "left_anti")
+    gone = removed(pairs(rows, hub))
+    left = rows.join(gone, "a", "left_anti")
     more = removed(pairs(left, other.where("low_ IS NOT NULL")))
     later = gone.union(more).withColumn("later", F.lit(True))
     fates = parts.select("run", "a", "b").join(classes.join(later, "a", "left"), ["a", "b"])

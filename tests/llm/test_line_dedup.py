@@ -1,5 +1,6 @@
 import random
 
+from rivulet import session
 from rivulet.llm import line_dedup as module
 from rivulet.llm.line_dedup import DEN, NUM, drop_similar_lines, line_dedup
 from tests.llm.corpora import awkward, frame, sentence
@@ -78,3 +79,27 @@ def test_awkward_rows_and_texts_left(spark):
 
 def test_rarity_table_has_a_fixed_size():
     assert module.BUCKETS == 1 << 14
+
+
+def test_only_texts_with_lines_to_verify_are_moved(spark):
+    rows = spark.range(5000).selectExpr("id", "xxhash64(id) AS h")
+    wanted = rows.where("id % 100 = 0").selectExpr("h AS print")
+    found = {r["id"] for r in module._marked(rows, wanted, "h", "print").collect()}
+    assert found >= set(range(0, 5000, 100))
+    assert len(found) < 300
+
+
+def test_shuffle_files_go_with_each_step(spark, monkeypatch):
+    seen = []
+    write = module.settle_free
+
+    def spy(df, label):
+        out = write(df, label)
+        seen.append(label)
+        return out
+
+    monkeypatch.setattr(module, "settle_free", spy)
+    before = spark.conf.get(session.FREE_SHUFFLES)
+    line_dedup(frame(spark, corpus(3))).collect()
+    assert seen.count("spots") == 2 and "shared_prefixes" not in seen
+    assert spark.conf.get(session.FREE_SHUFFLES) == before
