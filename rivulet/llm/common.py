@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +31,13 @@ def unit(*parts: Column | str) -> Column:
 
 
 def slices(batch, rows: int = 500) -> Iterator:
-    """An Arrow batch in parts of a few hundred rows, so that a task never unpacks a whole batch."""
+    """An Arrow batch in parts of a few hundred rows, so that a task never unpacks a whole batch.
+
+    After each batch Arrow gives back what it holds unused: workers outlive their tasks, and would keep it.
+    """
     for begin in range(0, batch.num_rows, rows):
         yield batch.slice(begin, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def binaries(batch, column: str) -> list[bytes]:

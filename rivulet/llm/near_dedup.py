@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm.common import binaries, slices
 from rivulet.llm.components import components
-from rivulet.session import settle
+from rivulet.session import bound_batches, settle
 
 SHINGLE = 5
 SYMBOLS, PER_CHUNK, MOST_ERRORS = 48, 4, 22
@@ -246,6 +246,7 @@ def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     reach. Null and empty texts have no shingle and are linked with nothing. Rows with a null id are not
     linked and kept. Rows that repeat an id share its fate. An empty table gives an empty result.
     """
+    bound_batches(docs.sparkSession)
     given = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     prints = settle(given.mapInArrow(_prints, ", ".join(f"{f.name} {_SQL[f.type]}" for f in PRINTS)), "prints")
     prints = prints.withColumn("run", F.pmod(F.xxhash64("id"), F.lit(RUNS)))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import binaries, slices
-from rivulet.session import settle
+from rivulet.session import bound_batches, settle
 
 PIECES = "doc_id bigint, row bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 # Fixed value: the signs of ASCII but for the apostrophe.
@@ -116,7 +116,7 @@ class WordEncoder:
                 yield data.slice(begin, end - begin).to_pybytes() if end > begin else b""
 
 
-def _together(sizes: list[int], most: int = 4_000_000) -> Iterator[int]:
+def _together(sizes: list[int], most: int = 1_000_000) -> Iterator[int]:
     """Where to cut a list of texts into parts of about ``most`` bytes; a longer text is a part of its own."""
     held = 0
     for k, size in enumerate(sizes):
@@ -137,7 +137,7 @@ def _pieces(batches, encoder: Callable, capacity: int, end_id: int):
     encode, end = encoder(), np.array([end_id], "<u4").tobytes()
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "row", "start", "length", "ids_crc32", "doc_tokens")])
     for batch in batches:
-        for part in slices(batch, 2000):
+        for part in slices(batch, 500):
             out = []
             keys = zip(part.column("doc_id").to_pylist(), part.column("row").to_pylist())
             for (doc, row), ids in zip(keys, encode(binaries(part, "text"))):
@@ -214,6 +214,7 @@ def pack(
     gives an empty result; other columns are not read.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     pieces = settle(
         docs.select(
             F.col(id_column).cast("bigint").alias("doc_id"),

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import binaries, fold, slices
+from rivulet.session import bound_batches
 
 PASSAGE = 64
 SHAPES = 96  # hashed word shapes
@@ -234,5 +235,6 @@ def score_quality(
 
 def keep_good(docs: DataFrame, labels: DataFrame, text_column: str = "text", cut: float = 0.3, **columns) -> DataFrame:
     """The rows of ``docs`` whose score is at least ``cut``, with all their columns."""
+    bound_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, text_column=text_column, **columns))
     return docs.mapInArrow(partial(_keep, model=model, column=text_column, cut=cut), docs.schema)

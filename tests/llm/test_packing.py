@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from rivulet.llm.common import slices
 from rivulet.llm.packing import WordEncoder, cut, pack, shortest_pack_first, slots
 from rivulet.llm.queries import word_bpe
 from tests.llm.corpora import awkward, frame
@@ -111,3 +112,22 @@ def test_a_worker_keeps_its_encoder_from_task_to_task(spark):
     assert len(by_worker) < 32
     for rows in by_worker.values():  # only a worker's first task learns the words
         assert sum(r["after"] > r["before"] for r in rows) <= 1
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.get_total_buffer_size()]})
+
+    pack(frame(spark, [(1, "a b")]), word_bpe)
+    texts = spark.range(0, 4000, 1, 1).selectExpr("repeat('word ', 2000) AS text")
+    assert max(r["bytes"] for r in texts.mapInArrow(sizes, "bytes bigint").collect()) < 16_000_000
+
+
+def test_unused_memory_of_a_batch_is_given_back(monkeypatch):
+    released = []
+    pool = type("Pool", (), {"release_unused": lambda self: released.append(1)})()
+    monkeypatch.setattr("rivulet.llm.common.pa.default_memory_pool", lambda: pool)
+    batch = pa.RecordBatch.from_pydict({"x": list(range(10))})
+    assert [p.num_rows for p in slices(batch, 4)] == [4, 4, 2]
+    assert released == [1]
