@@ -103,3 +103,67 @@ def test_shuffle_files_go_with_each_step(spark, monkeypatch):
     line_dedup(frame(spark, corpus(3))).collect()
     assert seen.count("spots") == 2 and "shared_prefixes" not in seen
     assert spark.conf.get(session.FREE_SHUFFLES) == before
+
+
+def test_similar_lines_share_two_hashes(spark):
+    rng = random.Random(11)
+    rows = []
+    for n in [9, 10, 11, 18, 19, 20, 29, 38, 57, 75, 76, 300, 1000, 1023, 1024, 1100, 2500]:
+        words = [f"w{n}x{i}" for i in range(n)]
+        for size in {n, -(-n * NUM // DEN)}:
+            other = words[:size]
+            while True:  # as far apart as similar sets of these sizes can be
+                changed = [*other[:-1], f"y{rng.random()}"]
+                rng.shuffle(changed)
+                both = len(set(words) & set(changed))
+                if DEN * both < NUM * len(set(words) | set(changed)):
+                    break
+                other = changed
+            rows.append((len(rows), " ".join(words) + "\n" + " ".join(other)))
+    keyed = module._keyed(module._lines(frame(spark, rows), "doc_id", "text"))
+    assert keyed.where("level = 0").count() == 2 * len(rows)
+    found = {}
+    at = {(r.id, r.line_no): r.a for r in keyed.where("level = 0").collect()}
+    for r in keyed.where("level > 0").collect():
+        found.setdefault(r.a, set()).add(r.sig)
+    for i, text in rows:
+        a, b = at[i, 0], at[i, 1]
+        assert a == b or len(found[a] & found[b]) >= 2, len(text.split())
+
+
+def test_long_lines_as_by_hand(spark):
+    rng = random.Random(12)
+    rows = []
+    for n in (300, 1020, 1030, 4000):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        for share in (0.02, 0.04, 0.06, 0.09):
+            words = list(base)
+            for k in rng.sample(range(n), int(n * share)):
+                words[k] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+            rows.append((len(rows), " ".join(words[: int(n * 0.95)])))
+    rng.shuffle(rows)
+    assert removed(line_dedup(frame(spark, rows)).collect()) == by_hand(sorted(rows))
+
+
+def test_frequent_hashes_as_by_hand(spark, monkeypatch):
+    monkeypatch.setattr(module, "HOT", 1)
+    rows = corpus(4)
+    assert removed(line_dedup(frame(spark, rows)).collect()) == by_hand(rows)
+
+
+def test_only_lines_to_verify_are_read_again(spark, monkeypatch):
+    sizes = {}
+    write = module.settle_free
+
+    def spy(df, label):
+        out = write(df, label)
+        sizes.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "settle_free", spy)
+    common = "the of and to in a is that for it"
+    rows = [(i, f"{common} only{i} here{i}\n{common} more{i} there{i}") for i in range(200)]
+    rows += [(200 + i, f"one two three four five six seven eight nine ten eleven twelve{' too' * i}") for i in range(2)]
+    assert removed(line_dedup(frame(spark, rows)).collect()) == {**{i: [] for i in range(201)}, 201: [0]}
+    assert sizes["line_pairs"][0] == 1 and sum(sizes["line_pairs"]) < 20 and sum(sizes["line_sets"]) < 40
