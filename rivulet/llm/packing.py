@@ -26,7 +26,7 @@ from rivulet.session import bound_batches, settle
 
 PIECES = "doc_id bigint, row bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 # Fixed value: the signs of ASCII but for the apostrophe.
-SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 CACHED_WORDS = 400_000  # words whose ids an encoder keeps; others are encoded for each slice anew
 
 
@@ -46,44 +46,48 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)  # the ids that close a word
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {b"": b""}
+        self.known: dict[str, bytes] = {"": b""}
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        # one text; offsets, which nobody asks for, are left out
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _encode(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Words of letters only are encoded together: each then ends with its only closing id."""
-        found, plain = {}, []
-        for word in words:
-            if word.decode().isalpha():
-                plain.append(word)
-            else:
-                found[word] = self._ids(word.decode()).tobytes()
+    def _encode(self, plain: list[str], others: list[str]) -> dict[str, bytes]:
+        """Words of letters only, ``plain``, are encoded together: each then ends with its only closing id."""
+        found = {w: self._ids(w).tobytes() for w in others}
         for begin in range(0, len(plain), 1000):
             part = plain[begin : begin + 1000]
-            ids = self._ids(b" ".join(part).decode())
+            ids = self._ids(" ".join(part))
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part):
                 raw, at = ids.tobytes(), [0, *(cuts * 4).tolist()]
-                found.update((w, raw[a:b]) for w, a, b in zip(part, at, at[1:]))
+                found.update(zip(part, map(raw.__getitem__, map(slice, at, at[1:]))))
             else:
-                found.update((w, self._ids(w.decode()).tobytes()) for w in part)
+                found.update((w, self._ids(w).tobytes()) for w in part)
         return found
 
-    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words not kept so far; those of a special string are never used. Letters and the signs behind them
         are encoded apart: the tokenizer never joins them (but for an apostrophe, which is not among the signs)."""
-        stems = {}
+        plain, others, ended = set(), set(), []
+        known = self.known
         for word in words:
             stem = word.rstrip(SIGNS)
-            if stem and len(stem) < len(word) and stem.decode().isalpha():
-                stems[word] = stem
-        wanted = ({stems.get(w, w) for w in words} | {w[len(s) :] for w, s in stems.items()}) - self.known.keys()
-        fresh = self._encode(wanted)
-        get = lambda w: self.known.get(w) or fresh[w]
-        fresh.update([(w, get(s) + get(w[len(s) :])) for w, s in stems.items()])
-        if len(self.known) < CACHED_WORDS:
-            self.known.update(fresh)
+            if not stem.isalpha():
+                others.add(word)
+                continue
+            if len(stem) < len(word):
+                signs = word[len(stem) :]
+                ended.append((word, stem, signs))
+                if signs not in known:
+                    others.add(signs)
+            if stem not in known:
+                plain.add(stem)
+        fresh = self._encode(list(plain), list(others))
+        get = lambda w: known.get(w) or fresh[w]
+        fresh.update([(word, get(stem) + get(signs)) for word, stem, signs in ended])
+        if len(known) < CACHED_WORDS:
+            known.update(fresh)
         return fresh
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
@@ -96,9 +100,9 @@ class WordEncoder:
         lowered = pc.ascii_lower(pa.array(texts, pa.binary()).cast(pa.large_string()))
         split = pc.ascii_split_whitespace(lowered)
         words = split.values.dictionary_encode()  # a word for each place, each different one once
-        different = words.dictionary.cast(pa.large_binary()).to_pylist()
+        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         ids = list(map(self.known.get, different))
-        missing = {w for w, i in zip(different, ids) if i is None}
+        missing = [w for w, i in zip(different, ids) if i is None]
         if missing:
             fresh = self._learn(missing)
             ids = [fresh[w] if i is None else i for w, i in zip(different, ids)]

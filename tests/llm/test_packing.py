@@ -131,3 +131,23 @@ def test_unused_memory_of_a_batch_is_given_back(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"x": list(range(10))})
     assert [p.num_rows for p in slices(batch, 4)] == [4, 4, 2]
     assert released == [1]
+
+
+def test_the_tokenizer_is_asked_once_for_many_new_words_and_never_for_offsets(public, monkeypatch):
+    small, asked = word_bpe.__wrapped__(), []
+
+    class Spy:
+        def encode(self, text, **kwargs):
+            raise AssertionError("offsets are not needed")
+
+        def encode_batch_fast(self, texts, **kwargs):
+            asked.extend(texts)
+            return public.encode_batch_fast(texts, **kwargs)
+
+    monkeypatch.setattr(small, "tokenizer", Spy())
+    texts = [" ".join(f"wo{chr(97 + i % 26)}{chr(97 + i // 26)}{s}" for i in range(300)) for s in ("", ",", ".", "!")]
+    texts += ["Ünïcode, naïve. 你好! ok", "a,b c.", "'tis it's", ""]
+    assert list(small([t.encode() for t in texts])) == [whole(public, t).tobytes() for t in texts]
+    assert len(asked) < 15
+    list(small([t.encode() for t in texts[:4]]))
+    assert len(asked) < 15
