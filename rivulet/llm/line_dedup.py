@@ -7,7 +7,7 @@ ranges than that, two ranges at least hold the same words in both sets; classes
 a range. The number of ranges goes by levels of size: that of the larger set, and the smaller is in its own level
 or the next. What meets and is of similar size is verified on full sets.
 
-Classes are first compared with one class per hash, the earliest: in a large group of similar lines that already
+Classes are first compared with one class per hash (and per two hot ones), the earliest: in a large group of similar lines that already
 removes nearly all. Only classes that are left are then compared with all earlier ones. A hash of more than ``HOT``
 classes is mostly a range with few and frequent words; there, classes meet only if they have two such hashes in common.
 """
@@ -146,14 +146,14 @@ def _class_columns() -> list[Column]:
     return [F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b")]
 
 
-def _pairs(x: DataFrame, y: DataFrame, on: list[str]) -> DataFrame:
+def _pairs(x: DataFrame, y: DataFrame, on: list[str], meet: Column | None = None) -> DataFrame:
     """(a, first, other, other_first): classes of ``x`` and earlier ones of ``y`` that meet and may be similar by sizes and bitmaps."""
-    y = y.select(*[F.col(c).alias(f"{c}_") for c in (*on, "a", "n", "bits", "first")])
+    y = y.select(*[F.col(c).alias(f"{c}_") for c in (*on, "a", "n", "bits", "first", *(["sigs"] if meet is not None else []))])
     met = [x[c] == y[f"{c}_"] for c in on]
     both = F.col("n") + F.col("n_")
     apart = both - 2 * F.ceil(both * NUM / F.lit(NUM + DEN))
     fit = (F.least("n", "n_") * DEN >= F.greatest("n", "n_") * NUM) & (F.bit_count(F.col("bits").bitwiseXOR(F.col("bits_"))) <= apart)
-    return x.join(y, met).where((F.col("first_") < F.col("first")) & fit).select(
+    return x.join(y, met).where((F.col("first_") < F.col("first")) & fit & (F.lit(True) if meet is None else meet)).select(
         "a", "first", F.col("a_").alias("other"), F.col("first_").alias("other_first")
     )
 
@@ -229,13 +229,18 @@ def similar_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         sets = settle_free(texts.select("a", _words(_plain(F.col("line"))).alias("words")), "line_sets")
         return settle_free(later_matches(found, sets), "later")
 
-    gone = removed(_pairs(members, hubs, ["sig"]))
     some = members.join(hubs.where((F.col("size") > 2) & (F.col("size") <= HOT)).select("sig"), "sig", "left_semi")
     hot = members.join(hubs.where(F.col("size") > HOT).select("sig"), "sig", "left_semi")
-    twice = hot.join(hot.select("a", "level", F.col("sig").alias("sig2")), ["a", "level"]).where("sig < sig2")
+    sets = hot.groupBy("a", "level", "first", "n", "bits").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))
+    one = sets.select("a", "first", "n", "bits", "sigs", F.posexplode("sigs").alias("at", "sig"))
+    both = one.select("*", F.explode(F.slice("sigs", F.col("at") + 2, F.size("sigs"))).alias("sig2"))
+    twice = settle_free(both.withColumn("two", F.xxhash64("sig", "sig2")).drop("at"), "hot_members")
+    first_of_two = twice.groupBy("two").agg(F.min(F.struct("first", "a", "n", "bits")).alias("hub")).select("two", "hub.*")
+    gone = removed(_pairs(members, hubs, ["sig"]).union(_pairs(twice, first_of_two, ["two"])))
+    # classes with many hot hashes in common meet by the first two only
+    meet = F.slice(F.array_intersect("sigs", "sigs_"), 1, 2) == F.array("sig", "sig2")
     more = removed(
-        _pairs(some.join(gone, "a", "left_anti"), some, ["sig"])
-        .union(_pairs(twice.join(gone, "a", "left_anti"), twice, ["sig", "sig2"]))
+        _pairs(some.join(gone, "a", "left_anti"), some, ["sig"]).union(_pairs(twice.join(gone, "a", "left_anti"), twice, ["two"], meet))
     )
     later = gone.union(more).withColumn("later", F.lit(True))
     fates = settle_free(
